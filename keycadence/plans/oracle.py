@@ -141,7 +141,7 @@ ch AS (
 cmp AS (
   SELECT doc_id, elapsed, CAST(length(typed) AS INT) AS total, CAST(length(quote) AS INT) AS len,
     CASE WHEN length(typed) = 0 THEN 0 ELSE CAST(len(list_filter(
-      list_zip(t, q), p -> coalesce(p[1] = p[2], false))) AS INT) END AS correct
+      list_zip(t, q), lambda p: coalesce(p[1] = p[2], false))) AS INT) END AS correct
   FROM ch
 )"""
 
