@@ -10,7 +10,6 @@ from pyspark.sql.types import StructType
 
 from ..functions.times import event_time, iso_utc
 from ..schema import (
-    EVENT_FIELDS,
     EVENT_SCHEMA,
     KEYSTROKE,
     OUTCOME_TYPES,
@@ -27,9 +26,12 @@ def decode_values(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def parse_events(
     decoded: DataFrame, schema: StructType = EVENT_SCHEMA, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Typed events from ``json``; what does not parse becomes null fields."""
-    parsed = decoded.select(*keep, F.from_json("json", schema).alias("parsed"))
-    return parsed.select(*keep, "parsed.*")
+    """Typed events from ``json``; what does not parse becomes null fields.
+
+    The generator keeps later filters from being pushed below the parse, where
+    each filtered field would parse the text again.
+    """
+    return decoded.select(*keep, F.inline(F.array(F.from_json("json", schema))))
 
 
 def may_hold(json: Column, word: str) -> Column:
@@ -87,12 +89,10 @@ def unreadable_events(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame
     ``empty`` has no text, ``malformed`` has text in which not one event field
     was found. One field of a wrong type does not make a record unreadable.
     """
-    parsed = F.from_json("json", EVENT_SCHEMA)
-    found = decoded.select(*keep, "json", parsed.alias("parsed"))
-    nothing = F.coalesce(
-        *[F.col(f"parsed.{name}").cast("string") for name in EVENT_FIELDS],
-        F.to_json("parsed.data"),
-    ).isNull()
+    found = parse_events(decoded, keep=[*keep, "json"])
+    nothing = F.lit(True)
+    for name in EVENT_SCHEMA.names:
+        nothing = nothing & F.col(name).isNull()
     blank = F.col("json").isNull() | (F.trim("json") == "")
     return found.filter(nothing).select(
         *keep, "json", F.when(blank, "empty").otherwise("malformed").alias("reason")

@@ -64,14 +64,11 @@ def session_tracker(
         "start",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
     )
-    part = (
+    return (
         salted.join(starts, ["userId", "salt"])
         .filter(F.col("moment") >= F.col("start"))
-        .groupBy("userId", "salt", F.col("start.event_ts").alias("start_time"))
-        .agg(F.count("*").alias("events"), F.max("completed").alias("completed"))
-    )
-    return part.groupBy("userId", "start_time").agg(
-        F.max("completed").alias("end_time"), F.sum("events").alias("events_count")
+        .groupBy("userId", F.col("start.event_ts").alias("start_time"))
+        .agg(F.max("completed").alias("end_time"), F.count("*").alias("events_count"))
     )
 
 

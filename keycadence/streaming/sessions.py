@@ -36,11 +36,11 @@ def _micros(value) -> int | None:
     return None if pd.isna(value) else int(value)
 
 
-def stream_sessions(events: DataFrame, timeout: str | None = None) -> DataFrame:
+def stream_sessions(events: DataFrame, timeout_seconds: int | None = None) -> DataFrame:
     """Streaming form of ``session_tracker``; use with update output mode.
 
-    One small state row per user. Sessions never expire unless ``timeout``, a
-    processing-time duration such as ``"1 day"``, drops those idle for longer.
+    One small state row per user. Sessions never expire unless
+    ``timeout_seconds`` is given; then state idle for longer is dropped.
     A micro-batch holds a user's events in one task, so the source's rate limit
     bounds that group. Events are put in order within a micro-batch; across
     micro-batches the order of arrival counts.
@@ -57,18 +57,16 @@ def stream_sessions(events: DataFrame, timeout: str | None = None) -> DataFrame:
         if after is None:
             return
         state.update(after)
-        if timeout:
-            state.setTimeoutDuration(timeout)
-        row = dict(zip(("start_us", "end_us", "events_count"), after))
-        frame = pd.DataFrame({"userId": [key[0]]})
-        for name, value in row.items():
-            frame[name] = pd.array([value], dtype="Int64")
-        yield frame
+        if timeout_seconds:
+            state.setTimeoutDuration(timeout_seconds * 1000)
+        numbers = zip(("start_us", "end_us", "events_count"), after)
+        columns = {name: pd.array([value], dtype="Int64") for name, value in numbers}
+        yield pd.DataFrame({"userId": [key[0]], **columns})
 
     marks = events.filter(F.col("userId").isNotNull()).select(
         "userId", "eventType", "event_id", F.unix_micros("event_ts").alias("at_us")
     )
-    wait = GroupStateTimeout.ProcessingTimeTimeout if timeout else GroupStateTimeout.NoTimeout
+    wait = GroupStateTimeout.ProcessingTimeTimeout if timeout_seconds else GroupStateTimeout.NoTimeout
     tracked = marks.groupBy("userId").applyInPandasWithState(
         step, _OUTPUT, _STATE, "update", wait
     )
