@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A double in [0, 1) scaled by 2**57 is a whole number as soon as the value it
-# came from is at least 1/32, and ten times that still fits a long.
-_SCALE = 1 << 57
+# The fraction of a double scaled by 2**57 is a whole number as soon as the
+# double is at least 1/32, and ten times that still fits a long.
+_BITS = 57
 
 
 def tenths(value: Column) -> Column:
@@ -19,14 +19,13 @@ def tenths(value: Column) -> Column:
     code generation all the way. Valid for magnitudes below 2**53.
     """
     size = F.abs(value)
-    whole = F.floor(size)
-    scaled = ((size - whole) * F.lit(float(_SCALE))).cast("long") * F.lit(10)
-    digit = F.shiftright(scaled, 57)
-    rest = scaled.bitwiseAND(F.lit(_SCALE - 1))
-    half = F.lit(_SCALE // 2)
-    up = (rest > half) | ((rest == half) & (digit % 2 == 1))
-    rounded = (whole * 10 + digit + up.cast("long")).cast("double") / F.lit(10.0)
-    return F.when(value < 0, -rounded).otherwise(rounded)
+    fraction = size % F.lit(1.0)
+    scaled = (fraction * F.lit(float(1 << _BITS))).cast("long") * F.lit(10)
+    odd = F.shiftright(scaled, _BITS).bitwiseAND(F.lit(1))
+    # Just below half, plus one if the digit is odd: only then does a tie carry.
+    carried = scaled + F.lit((1 << (_BITS - 1)) - 1) + odd
+    rounded = F.floor(size) * 10 + F.shiftright(carried, _BITS)
+    return F.signum(value) * rounded.cast("double") / F.lit(10.0)
 
 
 def half_up(value: Column) -> Column:

@@ -50,8 +50,13 @@ def typing_events(events: DataFrame) -> DataFrame:
 
 
 def typing_records(events: DataFrame) -> DataFrame:
-    """``typing_events`` as ``key`` and ``value`` bytes."""
-    return encode_events(typing_events(events))
+    """``typing_events`` as ``key`` and ``value`` bytes.
+
+    The generator stands for the border between a producer and its readers: a
+    reader's filter on the bytes must not run the encoding a second time.
+    """
+    encoded = encode_events(typing_events(events))
+    return encoded.select("key", F.explode(F.array("value")).alias("value"))
 
 
 def typing_attempts(documents: DataFrame) -> DataFrame:

@@ -40,7 +40,9 @@ def stream_sessions(events: DataFrame, timeout_seconds: int | None = None) -> Da
     """Streaming form of ``session_tracker``; use with update output mode.
 
     One small state row per user. Sessions never expire unless
-    ``timeout_seconds`` is given; then state idle for longer is dropped.
+    ``timeout_seconds`` is given; then state idle for longer is dropped. (Spark
+    then runs batches without data for ever: a run that is to end with its input
+    also needs ``spark.sql.streaming.noDataMicroBatches.enabled=false``.)
     A micro-batch holds a user's events in one task, so the source's rate limit
     bounds that group. Events are put in order within a micro-batch; across
     micro-batches the order of arrival counts.
@@ -66,7 +68,8 @@ def stream_sessions(events: DataFrame, timeout_seconds: int | None = None) -> Da
     marks = events.filter(F.col("userId").isNotNull()).select(
         "userId", "eventType", "event_id", F.unix_micros("event_ts").alias("at_us")
     )
-    wait = GroupStateTimeout.ProcessingTimeTimeout if timeout_seconds else GroupStateTimeout.NoTimeout
+    kinds = GroupStateTimeout
+    wait = kinds.ProcessingTimeTimeout if timeout_seconds else kinds.NoTimeout
     tracked = marks.groupBy("userId").applyInPandasWithState(
         step, _OUTPUT, _STATE, "update", wait
     )
