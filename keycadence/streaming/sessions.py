@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..schema import SESSION_START, TEST_COMPLETE
 
+# The state function travels to the executors as code, so that a cluster without
+# this package installed can run it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Stands for a missing time in the state: a column of nulls has no certain type
+# on its way through pandas.
+_NO_TIME = -(1 << 62)
+
 _STATE = "start_us long, end_us long, events_count long"
 _OUTPUT = "userId string, start_us long, end_us long, events_count long"
 
@@ -22,7 +32,8 @@ def _advance(state: tuple | None, events: pd.DataFrame) -> tuple | None:
     starts = (kinds == SESSION_START).nonzero()[0]
     if len(starts):
         events, kinds = events.iloc[starts[-1] :], kinds[starts[-1] :]
-        state = (_micros(events["at_us"].iloc[0]), None, 0)
+        first = events["at_us"].iloc[0]
+        state = (_NO_TIME if pd.isna(first) else int(first), _NO_TIME, 0)
     if state is None:
         return None
     start_us, end_us, count = state
@@ -32,8 +43,8 @@ def _advance(state: tuple | None, events: pd.DataFrame) -> tuple | None:
     return start_us, end_us, count + len(events)
 
 
-def _micros(value) -> int | None:
-    return None if pd.isna(value) else int(value)
+def _time(micros: str) -> Column:
+    return F.timestamp_micros(F.nullif(F.col(micros), F.lit(_NO_TIME)))
 
 
 def stream_sessions(events: DataFrame, timeout_seconds: int | None = None) -> DataFrame:
@@ -61,9 +72,10 @@ def stream_sessions(events: DataFrame, timeout_seconds: int | None = None) -> Da
         state.update(after)
         if timeout_seconds:
             state.setTimeoutDuration(timeout_seconds * 1000)
-        numbers = zip(("start_us", "end_us", "events_count"), after)
-        columns = {name: pd.array([value], dtype="Int64") for name, value in numbers}
-        yield pd.DataFrame({"userId": [key[0]], **columns})
+        start_us, end_us, count = after
+        yield pd.DataFrame(
+            {"userId": [key[0]], "start_us": [start_us], "end_us": [end_us], "events_count": [count]}
+        )
 
     marks = events.filter(F.col("userId").isNotNull()).select(
         "userId", "eventType", "event_id", F.unix_micros("event_ts").alias("at_us")
@@ -75,7 +87,7 @@ def stream_sessions(events: DataFrame, timeout_seconds: int | None = None) -> Da
     )
     return tracked.select(
         "userId",
-        F.timestamp_micros("start_us").alias("start_time"),
-        F.timestamp_micros("end_us").alias("end_time"),
+        _time("start_us").alias("start_time"),
+        _time("end_us").alias("end_time"),
         "events_count",
     )
