@@ -26,6 +26,43 @@ def session_tracker(
     The last ``SESSION_START`` opens the session and is its first event; the
     last ``TEST_COMPLETE`` after it sets the end. Events before any start count
     for nothing.
+    """
+    return _since_start(events, floor, share, started_only=True).drop("started")
+
+
+def session_changes(
+    events: DataFrame, floor: int = FLOOR, share: int = SHARE
+) -> DataFrame:
+    """What some events, such as a micro-batch, do to each user's session.
+
+    ``started`` users begin a new session here. For the others the count and the
+    end are to be added to the session they have, if any.
+    """
+    return _since_start(events, floor, share, started_only=False)
+
+
+def sessions_from_log(log: DataFrame) -> DataFrame:
+    """Current sessions from the ``session_changes`` of numbered batches.
+
+    At most one row per user and batch, so no user is large here.
+    """
+    opened = log.filter("started").groupBy("userId").agg(F.max("batch_id").alias("opened"))
+    ended = F.when(F.col("end_time").isNotNull(), F.struct("batch_id", "end_time"))
+    first = F.col("batch_id") == F.col("opened")
+    return (
+        log.join(opened, "userId")
+        .filter(F.col("batch_id") >= F.col("opened"))
+        .groupBy("userId")
+        .agg(
+            F.max(F.when(first, F.col("start_time"))).alias("start_time"),
+            F.max(ended).getField("end_time").alias("end_time"),
+            F.sum("events_count").alias("events_count"),
+        )
+    )
+
+
+def _since_start(events: DataFrame, floor: int, share: int, started_only: bool) -> DataFrame:
+    """Count and end of each user's events from the last start on, if there is one.
 
     Two passes, both combining on the map side: a profile per user (rows, last
     start), then the events from that start on. The rows of a heavy user are
@@ -45,29 +82,34 @@ def session_tracker(
     )
 
     heavy = sized.filter(F.col("salts") > 1).select(
-        "userId", "salts", F.col("start").isNotNull().alias("started")
+        "userId", "salts", F.col("start").isNotNull().alias("has_start")
     )
-    salted = (
-        marks.join(F.broadcast(heavy), "userId", "left")
-        .filter(F.coalesce("started", F.lit(True)))
-        .select(
-            "userId",
-            F.when(
-                F.col("salts") > 1, F.pmod(scatter("event_id"), F.col("salts"))
-            ).otherwise(0).alias("salt"),
-            _moment().alias("moment"),
-            F.when(F.col("eventType") == TEST_COMPLETE, F.col("event_ts")).alias("completed"),
-        )
+    spread = marks.join(F.broadcast(heavy), "userId", "left")
+    starts = sized
+    if started_only:
+        spread = spread.filter(F.coalesce("has_start", F.lit(True)))
+        starts = starts.filter(F.col("start").isNotNull())
+    salted = spread.select(
+        "userId",
+        F.when(F.col("salts") > 1, F.pmod(scatter("event_id"), F.col("salts")))
+        .otherwise(0)
+        .alias("salt"),
+        _moment().alias("moment"),
+        F.when(F.col("eventType") == TEST_COMPLETE, F.col("event_ts")).alias("completed"),
     )
-    starts = sized.filter(F.col("start").isNotNull()).select(
+    starts = starts.select(
         "userId",
         "start",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
     )
     return (
         salted.join(starts, ["userId", "salt"])
-        .filter(F.col("moment") >= F.col("start"))
-        .groupBy("userId", F.col("start.event_ts").alias("start_time"))
+        .filter(F.col("start").isNull() | (F.col("moment") >= F.col("start")))
+        .groupBy(
+            "userId",
+            F.col("start").isNotNull().alias("started"),
+            F.col("start.event_ts").alias("start_time"),
+        )
         .agg(F.max("completed").alias("end_time"), F.count("*").alias("events_count"))
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.events import decode_values, keystroke_events, parse_events, with_event_time
 from ..operators.ranking import result_records
 from ..operators.serving import latest_per_key
+from ..operators.sessions import session_changes
 from ..operators.stats import user_stats, with_performance_level
 from ..schema import event_schema
 from ..streaming.sinks import (
@@ -78,3 +79,21 @@ def start_stats_log(
 def current_stats(log: DataFrame) -> DataFrame:
     """Newest statistics of every user in a log written by ``start_stats_log``."""
     return latest_per_key(log, "userId", ["batch_id"]).drop("batch_id")
+
+
+def start_session_log(
+    records: DataFrame, folder: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Sessions for streams in which one user may fill a micro-batch.
+
+    ``stream_sessions`` takes a user's part of a micro-batch into one task. Here
+    each micro-batch is summed up per user by the batch operator, which spreads
+    large users, and the changes go to a log; ``sessions_from_log`` reads it.
+    """
+    return start_batches(
+        session_marks(records),
+        [log_writer(f"{folder}/sessions", session_changes)],
+        f"{folder}/checkpoints/sessions",
+        trigger or every(15),
+        mode="append",
+    )

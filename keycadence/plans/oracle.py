@@ -292,6 +292,7 @@ ORACLE: dict[str, str] = {
     "stream_leaderboard": BOARD_ROWS,
     "stream_stats_log": LABELLED_STATS,
     "stream_sessions": SESSION_ROWS,
+    "stream_session_log": SESSION_ROWS,
     "stream_health": _with(
         HEALTH,
         "SELECT 'healthy' AS status, true AS source_connected, "

@@ -21,6 +21,7 @@ from .analytics import (
     current_stats,
     results_of,
     session_marks,
+    start_session_log,
     start_stats_log,
     stats_of,
 )
@@ -367,6 +368,13 @@ def stream_session_tracker(spark, sf_dir):
     return _shown_sessions(_session_run(spark, sf_dir)[0])
 
 
+def stream_session_log(spark, sf_dir):
+    """Session changes per batch in a log, folded into current sessions."""
+    folder = run_folder(spark, "session-log")
+    start_session_log(_replay(spark, sf_dir), folder, sinks.ALL_AVAILABLE).awaitTermination()
+    return _shown_sessions(sessions.sessions_from_log(read_log(spark, f"{folder}/sessions")))
+
+
 def stream_health(spark, sf_dir):
     tracked, session_query = _session_run(spark, sf_dir)
     results, result_query = _complete_run(spark, sf_dir, "results", ranking.result_records)
@@ -410,5 +418,6 @@ QUERIES: dict[str, Query] = {
     "stream_leaderboard": stream_leaderboard,
     "stream_stats_log": stream_stats_log,
     "stream_sessions": stream_session_tracker,
+    "stream_session_log": stream_session_log,
     "stream_health": stream_health,
 }

@@ -7,7 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from keycadence.operators import ranking, serving
-from keycadence.operators.sessions import session_tracker
+from keycadence.operators.sessions import (
+    session_changes,
+    session_tracker,
+    sessions_from_log,
+)
 from keycadence.plans import analytics
 from keycadence.plans.sample import typing_events, typing_records
 from keycadence.schema import EVENT_SCHEMA
@@ -163,6 +167,19 @@ def test_sessions(spark, events, log, tmp_path, timeout):
     _same(found, session_tracker(analytics.session_marks(typing_records(events))))
 
 
+@pytest.mark.parametrize("floor", [10_000_000, 4])
+def test_session_log(spark, events, log, tmp_path, floor):
+    sinks.start_batches(
+        analytics.session_marks(_replay(spark, events, log)),
+        [sinks.log_writer(f"{tmp_path}/log", lambda marks: session_changes(marks, floor=floor))],
+        f"{tmp_path}/checkpoint",
+        sinks.ALL_AVAILABLE,
+        mode="append",
+    ).awaitTermination()
+    found = sessions_from_log(read_log(spark, f"{tmp_path}/log"))
+    _same(found, session_tracker(analytics.session_marks(typing_records(events))))
+
+
 def test_service_with_console(spark, events, log, tmp_path):
     queries = analytics.start_service(_replay(spark, events, log), str(tmp_path), sinks.ALL_AVAILABLE)
     for query in queries:
