@@ -147,13 +147,17 @@ def event_counter(
     # At most `share` rows, a bound that does not depend on the data. Written
     # once, so that both sides below split the users the same way.
     ensure_checkpoint_dir(events.sparkSession)
-    heavy = heavy.select(F.col("userId").alias("heavy_user")).checkpoint()
-    if heavy.isEmpty():
+    heavy = heavy.select(F.col("userId").alias("heavy_user"), "n").checkpoint()
+    heavy_rows = heavy.agg(F.sum("n")).first()[0]
+    if heavy_rows is None:
         plain, sliced = events, None
     else:
         same = F.col("userId").eqNullSafe(F.col("heavy_user"))
+        usual = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slices = max(usual, heavy_rows // FLOOR + 1)
         plain = events.join(F.broadcast(heavy), same, "left_anti")
-        sliced = _count_in_slices(events.join(F.broadcast(heavy), same, "left_semi"))
+        large = events.join(F.broadcast(heavy), same, "left_semi")
+        sliced = _count_in_slices(large, slices)
     counted = (
         _placed(plain, "userId")
         .withColumn("event_no", _since_reset(F.lit(0)))
@@ -162,7 +166,7 @@ def event_counter(
     return counted if sliced is None else counted.unionByName(sliced.select(*columns))
 
 
-def _count_in_slices(events: DataFrame) -> DataFrame:
+def _count_in_slices(events: DataFrame, slices: int) -> DataFrame:
     """The running count as a two-level prefix sum.
 
     Range partitioning by user and order cuts even a single user into slices of
@@ -172,7 +176,7 @@ def _count_in_slices(events: DataFrame) -> DataFrame:
     rows and their slice summaries must see the same borders.
     """
     ordered = events.withColumn("copy", F.spark_partition_id()).repartitionByRange(
-        "userId", "event_ts", "event_id", "copy"
+        slices, "userId", "event_ts", "event_id", "copy"
     )
     sliced = ordered.withColumn("slice", F.spark_partition_id()).drop("copy").checkpoint()
     placed = _placed(sliced, "userId", "slice")

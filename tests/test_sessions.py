@@ -5,6 +5,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
+from keycadence.operators import sessions
 from keycadence.operators.sessions import event_counter, session_tracker
 
 KINDS = ["KEYSTROKE"] * 12 + ["TEST_START", "TEST_COMPLETE", "TEST_TIMEOUT", "SESSION_START", "TEST_RESTART"]
@@ -83,32 +84,21 @@ def test_session_tracker(spark, rows, floor, broadcast):
 
 
 @pytest.mark.parametrize("floor", [10_000_000, 100, 7])
-@pytest.mark.parametrize("coalesce", ["true", "false"])
-def test_event_counter(spark, rows, floor, coalesce):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
-    try:
-        frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
-        found = sorted(
-            (str(r.userId), _utc(r.event_ts), r.event_id, r.eventType, r.event_no)
-            for r in event_counter(frame, floor=floor).collect()
-        )
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+def test_event_counter(spark, rows, floor):
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    found = sorted(
+        (str(r.userId), _utc(r.event_ts), r.event_id, r.eventType, r.event_no)
+        for r in event_counter(frame, floor=floor).collect()
+    )
     assert found == _counted(rows)
 
 
 def test_heavy_users_are_cut_into_slices(spark):
-    """With coalescing off, the dominating user really spans several slices."""
-    from keycadence.operators import sessions
-
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        frame = spark.createDataFrame(_make(5), SCHEMA).repartition(5).filter("userId = 'big'")
-        sessions.ensure_checkpoint_dir(spark)
-        counted = sessions._count_in_slices(frame)
-        sizes = [r["count"] for r in counted.groupBy("slice").count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    """The dominating user really spans several slices, copies of one event included."""
+    frame = spark.createDataFrame(_make(5), SCHEMA).repartition(5).filter("userId = 'big'")
+    sessions.ensure_checkpoint_dir(spark)
+    counted = sessions._count_in_slices(frame, 4)
+    sizes = [r["count"] for r in counted.groupBy("slice").count().collect()]
     assert len(sizes) == 4 and max(sizes) < 200 and sum(sizes) == 300
 
 
