@@ -115,7 +115,7 @@ def known_users(requested: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def health_counts(sessions: DataFrame, stored: DataFrame) -> DataFrame:
-    """One row: users with a session and users with a result."""
+    """One row: users with a session and users with a result, from one row per user each."""
     return sessions.agg(F.count("*").alias("active_sessions")).withColumn(
         "spark_analytics_count", stored.agg(F.count("*")).scalar()
     )

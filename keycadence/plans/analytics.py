@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.events import decode_values, keystroke_events, parse_events, with_event_time
+from ..operators.events import (
+    decode_values,
+    events_of,
+    keystroke_events,
+    parse_events,
+    with_event_time,
+)
 from ..operators.ranking import result_records
 from ..operators.serving import latest_per_key
 from ..operators.sessions import session_changes
 from ..operators.stats import user_stats, with_performance_level
-from ..schema import event_schema
+from ..schema import SESSION_START, event_schema
 from ..streaming.sinks import (
     every,
     leaderboard_writer,
@@ -38,6 +44,14 @@ def session_marks(records: DataFrame) -> DataFrame:
     return events.filter("eventType IS NOT NULL").drop("timestamp")
 
 
+def session_users(records: DataFrame) -> DataFrame:
+    """The users that ever started a session; enough for counting sessions."""
+    starts = events_of(
+        decode_values(records), [SESSION_START], event_schema(("eventType", "userId"), ())
+    )
+    return starts.filter("userId IS NOT NULL").select("userId").distinct()
+
+
 def start_service(
     records: DataFrame, folder: str, trigger: dict | None = None
 ) -> list[StreamingQuery]:

@@ -21,6 +21,7 @@ from .analytics import (
     current_stats,
     results_of,
     session_marks,
+    session_users,
     start_session_log,
     start_stats_log,
     stats_of,
@@ -251,8 +252,7 @@ def known_users(spark, sf_dir):
 
 
 def health_counts(spark, sf_dir):
-    tracked = sessions.session_tracker(_marks(spark, sf_dir))
-    return serving.health_counts(tracked, _stored(spark, sf_dir))
+    return serving.health_counts(session_users(_records(spark, sf_dir)), _stored(spark, sf_dir))
 
 
 # Text scoring

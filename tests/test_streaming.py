@@ -190,6 +190,8 @@ def test_service_with_console(spark, events, log, tmp_path):
 
 
 def test_processing_time_trigger_and_await(spark, events, log, tmp_path):
+    # Forget queries of other tests, failed on purpose: awaiting would raise theirs.
+    spark.streams.resetTerminated()
     query = sinks.start_batches(
         analytics.stats_of(_replay(spark, events, log)),
         [sinks.snapshot_writer(f"{tmp_path}/stats")],
