@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import quality
+from . import neardup, quality
 
 
 def _read(spark, sf_dir, name):
@@ -19,6 +19,11 @@ def op1_quality_rules(spark, sf_dir):
     )
 
 
+def op8_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(_read(spark, sf_dir, "documents"), width=4)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
