@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import neardup, quality
+from . import neardup, passages, quality
+from .shipping import ship
 
 
 def _read(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_quality_rules(spark, sf_dir):
@@ -23,7 +24,12 @@ def op8_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
 
+def op10_substring_dedup(spark, sf_dir):
+    return passages.repeated_passages(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }

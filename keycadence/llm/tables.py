@@ -9,16 +9,25 @@ from pyspark.sql import functions as F
 
 from ..sources.storage import run_folder
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def materialize(rows: DataFrame, label: str) -> DataFrame:
     """Write rows once below ``spark.checkpoint.dir`` and read them back.
 
     Cuts lineage: an executor lost later costs a read of the stored files and no
-    recomputation. Compressed, so it takes less disk than a checkpoint.
+    recomputation. Compressed, so it takes less disk than a checkpoint. Shuffle
+    files behind the rows are of no more use then; Spark is told to remove them.
     """
-    folder = run_folder(rows.sparkSession, label)
-    rows.write.option("compression", "zstd").parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    spark = rows.sparkSession
+    folder = run_folder(spark, label)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        rows.write.option("compression", "zstd").parquet(folder)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(rows.schema).parquet(folder)
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
