@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import neardup, passages, quality
+from . import neardup, passages, pii, quality
 from .shipping import ship
 
 
@@ -20,6 +20,21 @@ def op1_quality_rules(spark, sf_dir):
     )
 
 
+def op3_personal_data(spark, sf_dir):
+    found = pii.found_spans(_read(spark, sf_dir, "documents"), ["doc_id"])
+    kinds = F.transform("base", lambda x: x["kind"])
+    counts = {
+        f"n_{kind}": (F.size("base") - F.size(F.array_remove(kinds, k))).cast("long")
+        for k, kind in enumerate(pii.KINDS)
+    }
+    return found.withColumns(counts).select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 def op8_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
@@ -30,6 +45,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_personal_data": op3_personal_data,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }
