@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import neardup, passages, pii, quality
+from . import bpe, neardup, passages, pii, quality
 from .shipping import ship
 
 
@@ -20,6 +21,18 @@ def op1_quality_rules(spark, sf_dir):
     )
 
 
+def op2_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_personal_data(spark, sf_dir):
     found = pii.found_spans(_read(spark, sf_dir, "documents"), ["doc_id"])
     kinds = F.transform("base", lambda x: x["kind"])
@@ -45,6 +58,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_personal_data": op3_personal_data,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
