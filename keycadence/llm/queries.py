@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, neardup, passages, pii, quality
+from . import bpe, neardup, packing, passages, pii, quality
 from .shipping import ship
 
 
@@ -48,6 +48,11 @@ def op3_personal_data(spark, sf_dir):
     )
 
 
+def op5_best_fit_packing(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed_documents(_read(spark, sf_dir, "documents"), path)
+
+
 def op8_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
@@ -60,6 +65,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_personal_data": op3_personal_data,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }
