@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, neardup, packing, passages, pii, quality
+from . import bpe, neardup, packing, passages, pii, quality, warc
 from .shipping import ship
 
 
@@ -53,6 +53,10 @@ def op5_best_fit_packing(spark, sf_dir):
     return packing.packed_documents(_read(spark, sf_dir, "documents"), path)
 
 
+def op7_warc(spark, sf_dir):
+    return warc.archived(_read(spark, sf_dir, "pages")).drop("payload")
+
+
 def op8_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
@@ -66,6 +70,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_personal_data": op3_personal_data,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_warc": op7_warc,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }
