@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, neardup, packing, passages, pii, quality, warc
+from . import ann, bpe, neardup, packing, passages, pii, quality, warc
 from .shipping import ship
 
 
@@ -48,6 +48,10 @@ def op3_personal_data(spark, sf_dir):
     )
 
 
+def op4_nearest_neighbours(spark, sf_dir):
+    return ann.nearest(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_best_fit_packing(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.packed_documents(_read(spark, sf_dir, "documents"), path)
@@ -69,6 +73,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_personal_data": op3_personal_data,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_warc": op7_warc,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
