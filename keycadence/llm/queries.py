@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann, bpe, neardup, packing, passages, pii, quality, warc
+from . import ann, bpe, lm, neardup, packing, passages, pii, quality, warc
 from .shipping import ship
 
 
@@ -57,6 +57,10 @@ def op5_best_fit_packing(spark, sf_dir):
     return packing.packed_documents(_read(spark, sf_dir, "documents"), path)
 
 
+def op6_lm_scoring(spark, sf_dir):
+    return lm.text_scores(_read(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark, sf_dir):
     return warc.archived(_read(spark, sf_dir, "pages")).drop("payload")
 
@@ -75,6 +79,7 @@ QUERIES = {
     "op3_personal_data": op3_personal_data,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_warc": op7_warc,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_substring_dedup": op10_substring_dedup,
