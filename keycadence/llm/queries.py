@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann, bpe, lm, neardup, packing, passages, pii, quality, warc
+from . import ann, bpe, licences, lm, neardup, packing, passages, pii, quality, warc
 from .shipping import ship
 
 
@@ -69,6 +69,19 @@ def op8_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(_read(spark, sf_dir, "documents"), width=4)
 
 
+def op9_license_scan(spark, sf_dir):
+    found = licences.license_scan(_read(spark, sf_dir, "documents"))
+    best = F.array_max(F.transform("licenses", lambda x: x["dice"]))
+    return found.select(
+        "doc_id",
+        F.concat_ws(
+            ",", F.array_sort(F.array_distinct(F.transform("licenses", lambda x: x["license"])))
+        ).alias("licenses"),
+        F.size("licenses").cast("long").alias("n_matches"),
+        F.round(best, 6).alias("best_dice"),
+    )
+
+
 def op10_substring_dedup(spark, sf_dir):
     return passages.repeated_passages(_read(spark, sf_dir, "documents"))
 
@@ -82,5 +95,6 @@ QUERIES = {
     "op6_lm_scoring": op6_lm_scoring,
     "op7_warc": op7_warc,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
 }
