@@ -16,7 +16,8 @@ def tenths(value: Column) -> Column:
     ``bround`` works on the shortest decimal text of the double, so 20.15
     becomes 20.2 although the stored number is below the tie. Here the fraction
     is compared with the tie in whole numbers: no error, no BigDecimal, and
-    code generation all the way. Valid for magnitudes below 2**53.
+    code generation all the way. Valid for magnitudes below 2**53; NaN and
+    infinity stay as they are.
     """
     size = F.abs(value)
     fraction = size % F.lit(1.0)
@@ -25,7 +26,8 @@ def tenths(value: Column) -> Column:
     # Just below half, plus one if the digit is odd: only then does a tie carry.
     carried = scaled + F.lit((1 << (_BITS - 1)) - 1) + odd
     rounded = F.floor(size) * 10 + F.shiftright(carried, _BITS)
-    return F.signum(value) * rounded.cast("double") / F.lit(10.0)
+    tenth = F.signum(value) * rounded.cast("double") / F.lit(10.0)
+    return F.when(F.isnan(value) | (size == float("inf")), value).otherwise(tenth)
 
 
 def half_up(value: Column) -> Column:

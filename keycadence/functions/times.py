@@ -8,17 +8,27 @@ from pyspark.sql import functions as F
 #: Seconds a typing test lasts (fixed value).
 TEST_SECONDS = 60
 
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+DAY_MILLIS = 86_400_000
 
 
 def iso_utc(at: Column) -> Column:
-    """ISO-8601 text with milliseconds; the session time zone must be UTC."""
-    return F.date_format(at, ISO_MILLIS)
+    """ISO-8601 text in UTC with milliseconds, whatever the session time zone."""
+    millis = F.unix_millis(at.cast("timestamp"))
+    rest = F.pmod(millis, F.lit(DAY_MILLIS))
+    day = F.date_from_unix_date(((millis - rest) / DAY_MILLIS).cast("int")).cast("string")
+    units = ((3_600_000, 24, 2), (60_000, 60, 2), (1_000, 60, 2), (1, 1_000, 3))
+    hour, minute, second, milli = (
+        F.lpad((F.floor(rest / unit) % size).cast("string"), width, "0")
+        for unit, size, width in units
+    )
+    return F.concat(day, F.lit("T"), F.concat_ws(":", hour, minute, second), F.lit("."), milli, F.lit("Z"))
 
 
 def event_time(text: Column) -> Column:
-    """Timestamp of an ISO-8601 text, null where it is not one."""
-    return F.try_to_timestamp(text)
+    """Timestamp of an ISO-8601 text, null where it is not one; UTC without a zone."""
+    parsed = F.try_to_timestamp(text)
+    zoned = text.rlike(r"(Z|[+-]\d{2}:?\d{2})\s*$") & text.contains(":")
+    return F.when(zoned, parsed).otherwise(F.from_utc_timestamp(parsed, F.current_timezone()))
 
 
 def epoch_millis(at: Column) -> Column:

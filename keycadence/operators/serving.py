@@ -80,13 +80,14 @@ def with_position(board: DataFrame) -> DataFrame:
 
 
 def lookup_with_default(requested: DataFrame, stored: DataFrame) -> DataFrame:
-    """Stored statistics of the requested users, defaults for unknown ones."""
+    """Stored records of the requested users, defaults and no stamp for unknown ones."""
     defaults = {
         "avg_wpm": NO_NUMBER,
         "avg_accuracy": NO_NUMBER,
         "total_keystrokes": NO_NUMBER,
         "global_rank": NO_RANK,
         "performance_trend": NO_TREND,
+        "last_update": None,
     }
     # A known user's own nulls stay null, as in the stored record.
     found = stored.select("userId", *defaults, F.lit(True).alias("known"))

@@ -51,7 +51,9 @@ def char_status(attempts: DataFrame, keep: Sequence[str]) -> DataFrame:
         F.when(F.length("typed") > 0, F.split("typed", "")).otherwise(F.array()).alias("typed"),
         F.when(F.length("quote") > 0, F.split("quote", "")).otherwise(F.array()).alias("quote"),
     )
-    placed = split.select(*keep, "typed", F.posexplode("quote").alias("pos", "expected"))
+    placed = split.select(*keep, "typed", F.posexplode_outer("quote").alias("pos", "expected"))
+    # a filter after an outer generator stays behind it, so no text is split again
+    placed = placed.filter("pos IS NOT NULL")
     status = (
         F.when(F.col("pos") >= F.size("typed"), PENDING)
         .when(F.get("typed", F.col("pos")) == F.col("expected"), CORRECT)

@@ -10,6 +10,7 @@ from ..operators.events import (
     events_of,
     keystroke_events,
     parse_events,
+    unreadable_events,
     with_event_time,
 )
 from ..operators.ranking import result_records
@@ -19,11 +20,10 @@ from ..operators.stats import user_stats, with_performance_level
 from ..schema import SESSION_START, event_schema
 from ..streaming.sinks import (
     every,
-    leaderboard_writer,
     log_writer,
-    results_writer,
+    preview_writer,
     start_batches,
-    start_console,
+    store_writer,
 )
 
 
@@ -55,19 +55,28 @@ def session_users(records: DataFrame) -> DataFrame:
 def start_service(
     records: DataFrame, folder: str, trigger: dict | None = None
 ) -> list[StreamingQuery]:
-    """Two queries over a stream of records: console output and stored results.
+    """The service over a stream of records: results, and what could not be read.
 
-    ``folder`` must be durable; it takes the checkpoints, the current result
-    records under ``results`` and the leaderboard under ``leaderboard``.
+    One query reads the records once and keeps one state; each micro-batch hands
+    the users that changed to the store (``stats``, ``results``, ``result_json``,
+    ``stored`` and ``leaderboard`` below ``folder``, by versions) and to a preview.
+    A second one parses only and logs unreadable records under ``unreadable``.
+    ``folder`` must be durable; it takes the checkpoints as well.
     """
-    stats = stats_of(records)
     return [
-        start_console(stats, f"{folder}/checkpoints/console", trigger or every(10)),
         start_batches(
-            stats,
-            [results_writer(f"{folder}/results"), leaderboard_writer(f"{folder}/leaderboard")],
+            stats_of(records),
+            [store_writer(folder), preview_writer()],
             f"{folder}/checkpoints/results",
             trigger or every(15),
+            mode="update",
+        ),
+        start_batches(
+            unreadable_events(decode_values(records)),
+            [log_writer(f"{folder}/unreadable")],
+            f"{folder}/checkpoints/unreadable",
+            trigger or every(15),
+            mode="append",
         ),
     ]
 

@@ -6,7 +6,6 @@ that encoding and parsing are checked as well.
 
 from __future__ import annotations
 
-from ..functions import labels
 from .registry import STAMP
 
 TYPED = """
@@ -52,18 +51,21 @@ pop AS (
 )
 
 
-def _steps(value: str, steps, otherwise: str) -> str:
-    whens = " ".join(f"WHEN {value} >= {bound} THEN '{label}'" for bound, label in steps)
-    return f"CASE {whens} ELSE '{otherwise}' END"
+LEVEL = """CASE WHEN avg_wpm >= 60 THEN '🏆 EXPERT' WHEN avg_wpm >= 40 THEN '👍 INTERMEDIATE'
+    WHEN avg_wpm >= 20 THEN '📚 BEGINNER' ELSE '🎯 PRACTICE NEEDED' END"""
+TREND = """CASE WHEN avg_wpm >= 50 THEN '🚀 FAST TYPIST' WHEN avg_wpm >= 30 THEN '👍 MODERATE'
+    ELSE '📚 LEARNING' END"""
+BAND = """CASE WHEN NOT population_mean > 0 THEN '⭐ FIRST TEST'
+    WHEN avg_wpm > population_mean + population_stddev THEN '🏆 TOP 10%'
+    WHEN avg_wpm > population_mean THEN '📈 ABOVE AVERAGE'
+    WHEN avg_wpm > population_mean - population_stddev THEN '📊 AVERAGE'
+    ELSE '🎯 NEEDS PRACTICE' END"""
 
 
-LEVEL = _steps("avg_wpm", labels.LEVELS, labels.LEVEL_OTHERWISE)
-TREND = _steps("avg_wpm", labels.TRENDS, labels.TREND_OTHERWISE)
-BAND = f"""CASE WHEN NOT population_mean > 0 THEN '{labels.BAND_NO_POPULATION}'
-    WHEN avg_wpm > population_mean + population_stddev THEN '{labels.BAND_TOP}'
-    WHEN avg_wpm > population_mean THEN '{labels.BAND_ABOVE}'
-    WHEN avg_wpm > population_mean - population_stddev THEN '{labels.BAND_AVERAGE}'
-    ELSE '{labels.BAND_BELOW}' END"""
+REQUESTED = """SELECT "userId" FROM (SELECT DISTINCT "userId" FROM te)
+    WHERE right("userId", 1) <> '4'
+  UNION ALL SELECT concat('x', "userId") FROM (SELECT DISTINCT "userId" FROM te)
+    WHERE right("userId", 1) = '0'"""
 
 
 def _tenths(x: str) -> str:
@@ -247,15 +249,17 @@ ORACLE: dict[str, str] = {
     "leaderboard_snapshot": BOARD_ROWS,
     "lookup_with_default": _with(
         RESULTS,
-        f'SELECT u."userId", {_LOOKUP} FROM (SELECT DISTINCT "userId" FROM te) u '
+        f'SELECT u."userId", {_LOOKUP}, s.last_update FROM ({REQUESTED}) u '
         'LEFT JOIN stored s ON u."userId" = s."userId"',
     ),
     "lookup_present": _with(
         RESULTS,
         'SELECT "userId", avg_wpm, avg_accuracy, total_keystrokes, global_rank, '
-        "performance_trend FROM stored",
+        f'performance_trend, last_update FROM stored WHERE "userId" IN ({REQUESTED})',
+    ),
+    "known_users": _with(
+        RESULTS, f'SELECT "userId" FROM stored WHERE "userId" IN ({REQUESTED})'
     ),
-    "known_users": _with(RESULTS, 'SELECT "userId" FROM stored'),
     "health_counts": _with(
         HEALTH,
         "SELECT (SELECT count(*) FROM sess) AS active_sessions, "
@@ -295,7 +299,7 @@ ORACLE: dict[str, str] = {
     "stream_session_log": SESSION_ROWS,
     "stream_health": _with(
         HEALTH,
-        "SELECT 'healthy' AS status, true AS source_connected, "
+        "SELECT 'ended' AS status, false AS source_connected, "
         "(SELECT count(*) FROM sess) AS active_sessions, "
         "(SELECT count(*) FROM stored) AS spark_analytics_count",
     ),

@@ -8,21 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 TOPIC = "typing-events"
 #: Largest accepted request of the producer, in bytes (fixed value).
 MAX_REQUEST_BYTES = 10_485_760
+#: A policy that passes over lost records, 50 at a time.
+LENIENT = {"fail_on_data_loss": False, "max_offsets_per_trigger": 50}
 
 
 def source_options(
     servers: str,
     topic: str = TOPIC,
     starting_offsets: str = "latest",
-    fail_on_data_loss: bool = False,
-    max_offsets_per_trigger: int | None = 1_000_000,
+    fail_on_data_loss: bool = True,
+    max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Options of the stream source.
 
-    ``max_offsets_per_trigger`` bounds a micro-batch, and with it what a single
-    user can bring to the stateful session tracker at once. ``min_partitions``
-    lets more tasks read than the topic has partitions.
+    By default nothing is lost silently: expired records fail the query, and a
+    micro-batch takes all there is. ``max_offsets_per_trigger`` bounds a
+    micro-batch; a limit below the arrival rate falls behind for good.
+    ``min_partitions`` lets more tasks read than the topic has partitions.
     """
     options = {
         "kafka.bootstrap.servers": servers,

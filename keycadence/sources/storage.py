@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
     known = spark.sparkContext.getCheckpointDir()
     return known.rstrip("/") if known else tempfile.mkdtemp(prefix="keycadence-")
@@ -59,6 +61,36 @@ def read_last_batch(spark: SparkSession, folder: str) -> DataFrame:
     return log.filter(F.col("batch_id") == newest)
 
 
+def write_version(rows: DataFrame, folder: str, version: int) -> None:
+    """Write one version of a stored list beside the earlier ones.
+
+    The version is named in ``complete`` only after all of its files are there,
+    so that a reader never meets a missing or half-written list.
+    """
+    rows.write.mode("overwrite").parquet(f"{folder}/version={version}")
+    marker = rows.sparkSession.range(version, version + 1).select(F.col("id").alias("version"))
+    marker.coalesce(1).write.mode("append").parquet(f"{folder}/complete")
+
+
+def newest_version(spark: SparkSession, folder: str, below: int | None = None) -> int | None:
+    """The newest complete version, older than ``below`` if given; None if there is none."""
+    marks = spark.read.option("recursiveFileLookup", "true").schema("version long")
+    try:
+        known = marks.parquet(f"{folder}/complete")
+    except AnalysisException:
+        return None
+    if below is not None:
+        known = known.filter(F.col("version") < below)
+    return known.agg(F.max("version")).first()[0]
+
+
+def read_version(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
+    """A version of a stored list, the newest complete one by default."""
+    if version is None:
+        version = newest_version(spark, folder)
+    return spark.read.parquet(f"{folder}/version={version}")
+
+
 def write_snapshot(rows: DataFrame, folder: str) -> None:
     """Replace a whole stored list, such as the leaderboard."""
     rows.write.mode("overwrite").parquet(folder)

@@ -15,6 +15,7 @@ def query_health(query: StreamingQuery) -> dict:
     return {
         "active": query.isActive,
         "failed": query.exception() is not None,
+        "state": query_state(query),
         "batch_id": progress["batchId"] if progress else None,
         "input_rows": progress["numInputRows"] if progress else 0,
         "rows_per_second": progress["processedRowsPerSecond"] if progress else 0.0,
@@ -24,12 +25,24 @@ def query_health(query: StreamingQuery) -> dict:
     }
 
 
+def query_state(query: StreamingQuery) -> str:
+    """``running``, ``failed``, or ``ended``: stopped, or done with its input."""
+    if query.exception() is not None:
+        return "failed"
+    return "running" if query.isActive else "ended"
+
+
 def health(sessions: DataFrame, stored: DataFrame, *queries: StreamingQuery) -> DataFrame:
-    """One row: overall status, source connection and the two counts."""
-    connected = all(not query_health(q)["failed"] for q in queries)
+    """One row: overall status, source connection and the two counts.
+
+    The source counts as connected while every query runs. ``stored`` has a row
+    per user with a stored result.
+    """
+    states = {query_state(q) for q in queries}
+    status = "failing" if "failed" in states else "ended" if "ended" in states else "healthy"
     return health_counts(sessions, stored).select(
-        F.lit("healthy" if connected else "failing").alias("status"),
-        F.lit(connected).alias("source_connected"),
+        F.lit(status).alias("status"),
+        F.lit(status == "healthy").alias("source_connected"),
         "active_sessions",
         "spark_analytics_count",
     )

@@ -1,15 +1,22 @@
-"""Starting streaming queries: console, batch callbacks, logs and snapshots."""
+"""Starting streaming queries: previews, batch callbacks, logs, stores and snapshots."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ranking import result_records
+from ..operators.ranking import encode_results, result_records
 from ..operators.serving import leaderboard, stored_results
-from ..sources.storage import write_batch, write_snapshot
+from ..sources.storage import (
+    newest_version,
+    read_version,
+    write_batch,
+    write_snapshot,
+    write_version,
+)
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -22,18 +29,20 @@ def every(seconds: int) -> dict[str, str]:
     return {"processingTime": f"{seconds} seconds"}
 
 
-def start_console(
-    rows: DataFrame, checkpoint: str, trigger: dict | None = None, mode: str = "complete"
-) -> StreamingQuery:
-    """Print the whole result after each micro-batch."""
-    return (
-        rows.writeStream.outputMode(mode)
-        .format("console")
-        .option("truncate", "false")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or every(10)))
-        .start()
-    )
+def preview_writer(
+    rows: int = 20, shape: Callable[[DataFrame], DataFrame] | None = None
+) -> BatchWriter:
+    """Prints a preview of each batch: at most ``rows`` rows, limited on the executors.
+
+    Nothing is dropped from the results; those are what the other writers store.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        shown = shape(batch) if shape else batch
+        print(f"batch {batch_id}")
+        shown.limit(rows).show(rows, truncate=False)
+
+    return write
 
 
 def start_batches(
@@ -86,9 +95,35 @@ def log_writer(folder: str, shape: Callable[[DataFrame], DataFrame] | None = Non
     return write
 
 
-def results_writer(folder: str) -> BatchWriter:
-    """Ranks the users of a complete-mode batch and stores their result records."""
-    return snapshot_writer(folder, result_records)
+def store_writer(folder: str) -> BatchWriter:
+    """Folds changed users into the store and ranks everybody anew.
+
+    Takes update-mode batches. The statistics of a version are those of the one
+    before with the changed users replaced; result records, stored results and
+    leaderboard of the same version come from them. A batch that runs again
+    starts from the same earlier version and writes its own anew, and readers
+    keep seeing the version before until all of it is there.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stats = batch
+        before = newest_version(spark, f"{folder}/stats", below=batch_id)
+        if before is not None:
+            old = read_version(spark, f"{folder}/stats", before)
+            changed = batch.select(F.col("userId").alias("changed"))
+            same = F.col("userId").eqNullSafe(F.col("changed"))
+            stats = old.join(changed, same, "left_anti").unionByName(batch)
+        write_version(stats, f"{folder}/stats", batch_id)
+        results = result_records(read_version(spark, f"{folder}/stats", batch_id))
+        write_version(results, f"{folder}/results", batch_id)
+        results = read_version(spark, f"{folder}/results", batch_id)
+        write_version(encode_results(results), f"{folder}/result_json", batch_id)
+        stored = stored_results(results)
+        write_version(stored, f"{folder}/stored", batch_id)
+        write_version(leaderboard(stored), f"{folder}/leaderboard", batch_id)
+
+    return write
 
 
 def leaderboard_writer(folder: str) -> BatchWriter:

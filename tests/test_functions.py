@@ -135,3 +135,24 @@ def test_completion(spark):
         assert r.is_timed_out == (elapsed >= 60)
         assert r.remaining == max(60 - elapsed, 0)
         assert r.quote_length == len(quote)
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    rows = spark.createDataFrame(
+        [("2024-01-01T00:00:00.000Z",), ("1969-12-31T23:59:59.999Z",), ("2024-07-01T12:34:56.789+02:00",),
+         ("2024-03-31T02:30:00.000",), (None,), ("nonsense",)], "t string")
+    wanted = ["2024-01-01T00:00:00.000Z", "1969-12-31T23:59:59.999Z", "2024-07-01T10:34:56.789Z",
+              "2024-03-31T02:30:00.000Z", None, None]
+    try:
+        for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            out = rows.select(times.iso_utc(times.event_time(F.col("t"))).alias("x")).collect()
+            assert [r.x for r in out] == wanted, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_tenths_passes_nan_and_infinity_through(spark):
+    rows = spark.createDataFrame([(float("nan"),), (float("inf"),), (-float("inf"),), (2.25,)], "x double")
+    found = [r.y for r in rows.select(numbers.tenths(F.col("x")).alias("y")).collect()]
+    assert str(found) == "[nan, inf, -inf, 2.2]"

@@ -120,8 +120,9 @@ def test_leaderboard_and_lookups(spark):
 
     asked = spark.createDataFrame([("u01",), ("nobody",), ("bare",)], "userId string")
     found = {r.userId: r for r in serving.lookup_with_default(asked, stored).collect()}
-    assert tuple(found["nobody"])[1:] == (0.0, 0.0, 0, "N/A", "stable")
-    assert tuple(found["bare"])[1:] == (0.0, 0.0, 0, "N/A", "stable")
+    assert tuple(found["nobody"])[1:] == (0.0, 0.0, 0, "N/A", "stable", None)
+    assert tuple(found["bare"])[1:-1] == (0.0, 0.0, 0, "N/A", "stable")
+    assert found["bare"].last_update
     assert found["u01"].total_keystrokes == 3
     assert {r.userId for r in serving.lookup_present(asked, stored).collect()} == {"u01", "bare"}
     assert {r.userId for r in serving.known_users(asked, stored).collect()} == {"u01", "bare"}

@@ -7,7 +7,7 @@ from keycadence.sources import kafka, replay, storage
 
 
 def test_kafka_source_options():
-    options = kafka.source_options("broker:9092", max_offsets_per_trigger=50, min_partitions=64)
+    options = kafka.source_options("broker:9092", **kafka.LENIENT, min_partitions=64)
     assert options == {
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "typing-events",
@@ -16,7 +16,8 @@ def test_kafka_source_options():
         "maxOffsetsPerTrigger": "50",
         "minPartitions": "64",
     }
-    assert "maxOffsetsPerTrigger" not in kafka.source_options("b", max_offsets_per_trigger=None)
+    careful = kafka.source_options("b")
+    assert careful["failOnDataLoss"] == "true" and "maxOffsetsPerTrigger" not in careful
 
 
 def test_kafka_sink_options():

@@ -16,7 +16,13 @@ from keycadence.plans import analytics
 from keycadence.plans.sample import typing_events, typing_records
 from keycadence.schema import EVENT_SCHEMA
 from keycadence.sources.replay import read_lines, replay_lines, replay_parquet
-from keycadence.sources.storage import read_last_batch, read_log, write_batch
+from keycadence.sources.storage import (
+    newest_version,
+    read_last_batch,
+    read_log,
+    read_version,
+    write_batch,
+)
 from keycadence.streaming import sinks
 from keycadence.streaming.health import query_health
 from keycadence.streaming.sessions import stream_sessions
@@ -180,13 +186,31 @@ def test_session_log(spark, events, log, tmp_path, floor):
     _same(found, session_tracker(analytics.session_marks(typing_records(events))))
 
 
-def test_service_with_console(spark, events, log, tmp_path):
+def test_service_store(spark, events, log, tmp_path, capsys):
     queries = analytics.start_service(_replay(spark, events, log), str(tmp_path), sinks.ALL_AVAILABLE)
     for query in queries:
         query.awaitTermination()
-    assert "Console" in queries[0].lastProgress["sink"]["description"]
-    assert not any(query_health(query)["failed"] for query in queries)
-    assert spark.read.parquet(f"{tmp_path}/leaderboard").count() == 10
+    assert {query_health(query)["state"] for query in queries} == {"ended"}
+    assert newest_version(spark, f"{tmp_path}/stored") == FILES - 1
+    assert newest_version(spark, f"{tmp_path}/stored", below=2) == 1
+    whole = analytics.stats_of(typing_records(events))
+    _same(_rounded(read_version(spark, f"{tmp_path}/stats")), _rounded(whole))
+    stored = serving.stored_results(ranking.result_records(whole)).drop("last_update")
+    _same(read_version(spark, f"{tmp_path}/stored").drop("last_update"), stored)
+    board = serving.leaderboard(stored)
+    _same(read_version(spark, f"{tmp_path}/leaderboard"), board)
+    assert read_version(spark, f"{tmp_path}/result_json").count() == whole.count()
+    assert "batch 0" in capsys.readouterr().out
+
+
+def test_service_logs_unreadable_records(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"eventType": "TEST_START", "userId": "a"}\nnot json\n')
+    records = replay_lines(spark, f"{tmp_path}/in", 1)
+    for query in analytics.start_service(records, f"{tmp_path}/out", sinks.ALL_AVAILABLE):
+        query.awaitTermination()
+    bad = read_log(spark, f"{tmp_path}/out/unreadable")
+    assert [(r.json, r.reason) for r in bad.collect()] == [("not json", "malformed")]
 
 
 def test_processing_time_trigger_and_await(spark, events, log, tmp_path):
