@@ -267,8 +267,9 @@ def listed(spans: Column) -> Column:
 def redacted(docs: DataFrame, column: str = "text") -> DataFrame:
     """All documents, every span replaced by its kind in brackets."""
     names = F.array(*map(F.lit, KINDS))
-    found = found_spans(docs, docs.columns, column)
-    text = F.col(column)
+    whole = docs.select(F.struct(*docs.columns).alias("__doc"), F.col(column).alias("text"))
+    found = found_spans(whole, ["__doc"])
+    text = F.col("__doc")[column]
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, x: Column) -> Column:
@@ -297,4 +298,6 @@ def redacted(docs: DataFrame, column: str = "text") -> DataFrame:
         ),
     )
     changed = F.when(F.size("base") + F.size("added") > 0, joined).otherwise(text)
-    return found.withColumn(column, changed).select(*docs.columns)
+    return found.select(
+        *[changed.alias(c) if c == column else F.col("__doc")[c].alias(c) for c in docs.columns]
+    )
