@@ -1,10 +1,11 @@
 """A hierarchical Pitman-Yor language model and the scores it gives to texts.
 
 Words are drawn from one restaurant whose dishes come from a spelling model: a
-hierarchy of restaurants over bytes, one for each context of two bytes, which
-shares its parent (the context without its first byte) with the others, down to
-one restaurant without context over a uniform base. A new table in a restaurant
-sends one customer to its parent.
+hierarchy of restaurants over bytes, one for each context of up to four bytes,
+which shares its parent (the context without its oldest byte) with others, down
+to one restaurant without context over a uniform base. Contexts know bytes by
+classes (all letters apart in the two nearest places), so that there are at most
+2^16 of them. A new table in a restaurant sends one customer to its parent.
 
 Seating is sampled by Gibbs sweeps. In a sweep every word's customers are seated
 anew, given the spelling model and the totals of the sweep before: customer after
@@ -17,9 +18,13 @@ the sweeps after ``BURN_IN``.
 All counts come from the whole training part. Documents are laid into chunks of
 about ``CHUNK_BYTES`` with a vocabulary each; only distinct words of a chunk are
 shuffled, to the counts and back with their scores. The spelling model has at
-most 256^3 contexts with a byte, whatever the corpus; it alone visits the driver
+most 2^24 contexts with a byte, whatever the corpus; it alone visits the driver
 and is broadcast.
 
+Word contexts are left out on purpose: nearly every word pair of a corpus is
+distinct, and shuffling them does not fit the disk limit (about 1 GB of pairs
+for 0.5 GB of documents, twice).
+
 Cases: a null text is empty and has its end token. A null doc_id counts as the
 empty text where documents are divided. Without training documents every count is
 0 and the model is its uniform spelling base. Repeated rows are scored each.
@@ -47,6 +52,8 @@ SPELL_DISCOUNT, SPELL_STRENGTH = 0.5, 2.0
 #: Stands for the end of a text; no word holds white space.
 END = b"\n"
 EDGE = 0x20
+#: Bits by which a context knows the byte before, the one before that, and so on.
+FIELDS = (5, 5, 4, 2)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -122,67 +129,77 @@ def tables(count: np.ndarray, new: np.ndarray, discount: float, uniform) -> np.n
     return out
 
 
+def _mask(level: int) -> int:
+    """The part of a key that a restaurant with ``level`` bytes of context sees."""
+    return (1 << (sum(FIELDS[:level]) + 8)) - 1
+
+
 @dataclass
 class Spelling:
-    """Predictive probabilities of bytes after two bytes."""
+    """Predictive probabilities of a byte after a context, by level."""
 
-    keys: np.ndarray  # seen contexts with their byte, sorted
-    own: np.ndarray  # what the full context adds
-    back: np.ndarray  # by context: weight of the parent
-    pairs: np.ndarray  # byte given one byte
+    keys: list[np.ndarray]  # seen contexts with their byte, sorted
+    own: list[np.ndarray]  # what a restaurant adds for the byte
+    back: list[np.ndarray]  # by context: weight of the parent
 
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        p = self.back[keys >> 8] * self.pairs[keys & 0xFFFF]
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            p = p + np.where(self.keys[at] == keys, self.own[at], 0.0)
-        return np.log10(p)
-
-
-def _restaurants(customers, seats, context, contexts, parent):
-    """Share of the dish itself per row, and weight of the parent per context."""
-    d, s = SPELL_DISCOUNT, SPELL_STRENGTH
-    total = np.bincount(context, customers, contexts)
-    opened = np.bincount(context, seats, contexts)
-    own = (customers - d * seats) / (s + total[context])
-    return own, (s + d * opened) / (s + total)
+    def probability(self, keys: np.ndarray, level: int = len(FIELDS)) -> np.ndarray:
+        p = np.full(len(keys), 1 / 256)
+        for k in range(level + 1):
+            part = keys & _mask(k)
+            p = p * self.back[k][part >> 8]
+            known = self.keys[k]
+            if len(known):
+                at = np.minimum(np.searchsorted(known, part), len(known) - 1)
+                p = p + np.where(known[at] == part, self.own[k][at], 0.0)
+        return p
 
 
 def fitted(keys: np.ndarray, counts: np.ndarray, before: Spelling | None, sweep: int) -> Spelling:
-    """Seat all levels of the spelling model for given customers at the top level."""
+    """Seat all levels for given customers of the restaurants with whole contexts.
+
+    New tables are weighed with the parent's probabilities of the sweep before.
+    """
     rng = np.random.default_rng(sweep)
     draw = lambda k, rows: rng.random(len(rows))
     d, s = SPELL_DISCOUNT, SPELL_STRENGTH
-
-    def seat(customers, context, size, parent):
-        opened = np.bincount(context, np.minimum(customers, 1), size)
-        weight = (s + d * opened[context]) * parent
-        return tables(customers, weight, d, draw)
-
-    pairs = before.pairs if before else np.full(65536, 1 / 256)
-    seats = seat(counts, keys >> 8, 65536, pairs[keys & 0xFFFF])
-    own, back = _restaurants(counts, seats, keys >> 8, 65536, pairs)
-    two = np.bincount(keys & 0xFFFF, seats, 65536).astype(np.int64)
-    place = np.arange(65536)
-    single = pairs.reshape(256, 256).mean(axis=0)
-    two_seats = seat(two, place >> 8, 256, single[place & 0xFF])
-    one = np.bincount(place & 0xFF, two_seats, 256).astype(np.int64)
-    one_seats = seat(one, np.zeros(256, int), 1, np.full(256, 1 / 256))
-    one_own, one_back = _restaurants(one, one_seats, np.zeros(256, int), 1, None)
-    single = one_own + one_back[0] / 256
-    two_own, two_back = _restaurants(two, two_seats, place >> 8, 256, None)
-    pairs = two_own + two_back[place >> 8] * single[place & 0xFF]
-    return Spelling(keys, own, back, pairs)
+    all_keys, own, back = [], [], []
+    for level in range(len(FIELDS), -1, -1):
+        context, size = keys >> 8, (_mask(level) >> 8) + 1
+        opened = np.bincount(context, np.minimum(counts, 1), size)
+        parent = np.full(len(keys), 1 / 256)
+        if before and level:
+            parent = before.probability(keys, level - 1)
+        seats = tables(counts, (s + d * opened[context]) * parent, d, draw)
+        total = np.bincount(context, counts, size)
+        all_keys.append(keys)
+        own.append((counts - d * seats) / (s + total[context]))
+        back.append((s + d * np.bincount(context, seats, size)) / (s + total))
+        if level:
+            keys, place = np.unique(keys & _mask(level - 1), return_inverse=True)
+            counts = np.bincount(place, seats, len(keys)).astype(np.int64)
+    return Spelling(all_keys[::-1], own[::-1], back[::-1])
+
+
+def _classes() -> np.ndarray:
+    """Contexts know a byte by one of 32 classes: letters, the edge, and five others."""
+    found = 27 + np.arange(256) % 5
+    found[97:123] = np.arange(1, 27)
+    found[EDGE] = 0
+    return found
 
 
 def _spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (two bytes and the next) of all words, and each key's word."""
-    flat = np.frombuffer(b"".join(b"  " + w + b" " for w in words), np.uint8).astype(np.int64)
+    """Keys (context and byte) of all words and their ends, and each key's word."""
+    pad = bytes([EDGE]) * len(FIELDS)
+    flat = np.frombuffer(b"".join(pad + w + b" " for w in words), np.uint8).astype(np.int64)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
     owner = np.repeat(np.arange(len(words)), sizes)
-    starts = np.cumsum(sizes + 2) - sizes
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(starts, sizes)
-    return flat[at - 2] << 16 | flat[at - 1] << 8 | flat[at], owner
+    at = np.arange(len(owner)) + len(FIELDS) * (owner + 1)
+    classes, keys, shift = _classes()[flat], flat[at], 8
+    for back, bits in enumerate(FIELDS, 1):
+        keys = keys | (classes[at - back] % (1 << bits)) << shift
+        shift += bits
+    return keys, owner
 
 
 @dataclass
@@ -198,9 +215,11 @@ class Words:
         self.counts, self.discount = counts, discount
         self.hashes = word_hashes(words)
         self.keys, self.owner = _spelled(words)
+        self.distinct, self.place = np.unique(self.keys, return_inverse=True)
 
     def spelled(self, sweep: Sweep) -> np.ndarray:
-        logs = np.bincount(self.owner, sweep.spelling.log10(self.keys), len(self.counts))
+        p = np.log10(sweep.spelling.probability(self.distinct))[self.place]
+        logs = np.bincount(self.owner, p, len(self.counts))
         return 10.0**logs
 
     def seats(self, number: int, before: Sweep | None) -> np.ndarray:
