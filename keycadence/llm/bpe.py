@@ -21,7 +21,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from .words import slices
 
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 
 
 @lru_cache(2)
@@ -51,8 +51,10 @@ class Replay:
 
     def __init__(self, path: str):
         self.ranks, self.tokens = vocabulary(path)
-        self.single = [self.ranks[bytes([b])] for b in range(256)]
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.pairs: dict[int, int] = {}
+        single = self.single.tolist()
+        self.byte_pairs = np.array([self.pair(a, b) for a in single for b in single])
 
     def pair(self, left: int, right: int) -> int:
         """Rank of the token that two tokens make, or -1."""
@@ -67,55 +69,69 @@ class Replay:
         """Ids of every piece."""
         whole = [self.ranks.get(piece) for piece in pieces]
         rest = [piece for piece, rank in zip(pieces, whole, strict=True) if rank is None]
-        merged = iter(self._merge(rest))
+        merged = iter(self._merge(rest) if rest else ())
         return [next(merged) if rank is None else [rank] for rank in whole]
 
     def _merge(self, pieces: list[bytes]) -> list[list[int]]:
-        token: list[int] = []
-        after: list[int] = []
-        word: list[int] = []
-        for k, piece in enumerate(pieces):
-            begin = len(token)
-            token.extend(map(self.single.__getitem__, piece))
-            after.extend(range(begin + 1, len(token)))
-            after.append(-1)
-            word.extend([k] * len(piece))
-        before = list(range(-1, len(token) - 1))
-        begin = 0
-        for piece in pieces:
-            before[begin] = -1
-            begin += len(piece)
-        places: dict[int, list[int]] = {}
-        pair = self.pair
-        for i, j in enumerate(after):
-            if j >= 0 and (rank := pair(token[i], token[j])) >= 0:
-                places.setdefault(rank, []).append(i)
-        queue = list(places)
-        heapify(queue)
+        flat = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.cumsum(sizes)
+        neighbour = np.arange(1, len(flat) + 1)
+        neighbour[ends - 1] = -1
+        previous = np.arange(-1, len(flat) - 1)
+        previous[ends - sizes] = -1
+        token, after, before = self.single[flat].tolist(), neighbour.tolist(), previous.tolist()
+        word = np.repeat(np.arange(len(pieces)), sizes).tolist()
+        pairs, pair = self.pairs, self.pair
+        # the index to begin with: places of byte pairs, grouped by rank
+        first = self.byte_pairs[flat[:-1] << 8 | flat[1:]]
+        first[neighbour[:-1] < 0] = -1
+        at = np.flatnonzero(first >= 0)
+        at = at[np.argsort(first[at], kind="stable")]
+        ranks, begins = np.unique(first[at], return_index=True)
+        groups = np.split(at, begins[1:])
+        places = {r: g.tolist() for r, g in zip(ranks.tolist(), groups, strict=False)}
+        queue = ranks.tolist()
+
+        def add(rank: int, i: int) -> None:
+            found = places.get(rank)
+            if found is None:
+                places[rank] = [i]
+                heappush(queue, rank)
+            else:
+                found.append(i)
+
         while queue:
             rank = heappop(queue)
             held = -1  # the word that waits for a lower rank
-            for i in sorted(places.pop(rank, ())):
-                j = after[i]
-                if token[i] < 0 or j < 0 or pair(token[i], token[j]) != rank:
+            found = places.pop(rank)
+            found.sort()
+            for i in found:
+                j, left = after[i], token[i]
+                # pairs that a merge has changed meanwhile are passed over
+                if j < 0 or left < 0 or pairs[left << 32 | token[j]] != rank:
                     continue
                 if word[i] == held:
-                    self._add(places, queue, rank, i)
+                    add(rank, i)
                     continue
                 token[i], token[j] = rank, -1
                 k, h = after[j], before[i]
                 after[i] = k
                 if k >= 0:
                     before[k] = i
-                    new = pair(rank, token[k])
+                    new = pairs.get(rank << 32 | token[k])
+                    if new is None:
+                        new = pair(rank, token[k])
                     if new >= 0:
-                        self._add(places, queue, new, i)
+                        add(new, i)
                         if new < rank:
                             held = word[i]
                 if h >= 0:
-                    new = pair(token[h], rank)
+                    new = pairs.get(token[h] << 32 | rank)
+                    if new is None:
+                        new = pair(token[h], rank)
                     if new >= 0:
-                        self._add(places, queue, new, h)
+                        add(new, h)
                         if new < rank:
                             held = word[i]
         out: list[list[int]] = [[] for _ in pieces]
@@ -124,14 +140,27 @@ class Replay:
                 out[k].append(id_)
         return out
 
-    @staticmethod
-    def _add(places: dict[int, list[int]], queue: list[int], rank: int, i: int) -> None:
-        found = places.get(rank)
-        if found is None:
-            places[rank] = [i]
-            heappush(queue, rank)
-        else:
-            found.append(i)
+
+class Recent(dict):
+    """A cache of two generations: what is looked up again outlives a turn."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def fresh(self, keys) -> list:
+        """Keys that are not known; known ones move into the young generation."""
+        old, out = self.old, []
+        if len(self) > self.most:
+            self.old = old = dict(self)
+            self.clear()
+        for key in keys:
+            if key not in self:
+                if key in old:
+                    self[key] = old[key]
+                else:
+                    out.append(key)
+        return out
 
 
 class WordEncoder:
@@ -148,7 +177,7 @@ class WordEncoder:
         whole: Callable[[list[str]], list[list[int]]],
     ):
         self.words, self.whole = words, whole
-        self.known: dict[str, bytes | None] = {}
+        self.known = Recent(KEPT_WORDS)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [text.split(" ") for text in texts]
@@ -156,9 +185,7 @@ class WordEncoder:
         for p in parts:
             seen.update(p[1:])
         heads = {p[0] for p in parts}
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        fresh = [w for w in seen if w not in self.known]
+        fresh = self.known.fresh(seen)
         safe = [w for w in fresh if w and not (w[0].isspace() or w[-1].isspace())]
         self.known.update(dict.fromkeys(fresh))
         self.known.update(zip(safe, _packed(self.words([" " + w for w in safe])), strict=True))
@@ -181,11 +208,12 @@ def _packed(found: list[list[int]]) -> list[bytes]:
 @lru_cache(2)
 def _encoder(path: str) -> WordEncoder:
     replay, pattern = Replay(path), regex.compile(public_tokenizers.PATTERN)
+    ids = Recent(KEPT_WORDS // 2)
 
     def encode(texts: list[str]) -> list[list[int]]:
-        pieces = [[p.encode() for p in pattern.findall(text)] for text in texts]
-        distinct = list({p for found in pieces for p in found})
-        ids = dict(zip(distinct, replay.encode(distinct), strict=True))
+        pieces = [pattern.findall(text) for text in texts]
+        new = ids.fresh({p for found in pieces for p in found})
+        ids.update(zip(new, replay.encode([p.encode() for p in new]), strict=True))
         return [[i for p in found for i in ids[p]] for found in pieces]
 
     return WordEncoder(encode, encode)
