@@ -1,5 +1,75 @@
-"""SQL for DuckDB that gives the same rows as the named queries."""
+"""SQL for DuckDB that gives the same rows as the named queries.
+
+The other queries hash, sample, pack or search in ways that SQL does not express;
+tests hold them against brute force.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+BLANK = r"[\x20\x09-\x0D]+"
+
+QUALITY = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT doc_id, text,
+    list_filter(regexp_split_to_array(text, '{BLANK}'), lambda x: x <> '') AS w,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '{BLANK}', '', 'g') <> '')
+      AS lines
+  FROM d
+),
+windows AS (
+  SELECT doc_id, i, list_slice(w, i, i + 4) AS five
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w)
+),
+twins AS (
+  SELECT doc_id, i
+  FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM windows)
+  WHERE n > 1
+),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n
+  FROM (SELECT doc_id, i, unnest(range(0, 5)) AS k FROM twins) GROUP BY doc_id
+),
+counts AS (
+  SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '{BLANK}', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+    length(regexp_replace(text, '[^!]+', '', 'g')) AS exclamations,
+    length(regexp_replace(text, '\P{{Lu}}+', '', 'g')) AS capitals,
+    len(string_split(text, chr(10))) AS n_lines
+  FROM w LEFT JOIN covered ON w.doc_id = covered.doc_id
+),
+judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 2 * exclamations > n_words
+    OR 10 * capitals > 4 * word_chars OR 3 * n_dup_lines > n_lines
+    OR word_chars < 2 * n_words OR word_chars > 12 * n_words) AS kept
+FROM judged
+"""
+
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+last AS (SELECT html, max(page_id) AS source FROM p GROUP BY html),
+hashed AS (
+  SELECT p.page_id, p.html, source,
+    array_to_string(list_transform(string_split(sha1(p.html), ''), lambda h:
+      ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010',
+       '1011', '1100', '1101', '1110', '1111'][position(h IN '0123456789abcdef')]), '') AS bits
+  FROM p JOIN last ON p.html = last.html
+)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
+      + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
+      + CAST(substr(bits, 5 * i + 5, 1) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = source THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> source THEN source END AS refers_to
+FROM hashed
+"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY, "op7_warc": WARC}
