@@ -27,7 +27,17 @@ def materialize(rows: DataFrame, label: str) -> DataFrame:
         rows.write.option("compression", "zstd").parquet(folder)
     finally:
         spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(rows.schema).parquet(folder)
+    stored = spark.read.schema(rows.schema).parquet(folder)
+    stored.folder = folder
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing will read any more."""
+    for rows in stored:
+        spark = rows.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(rows.folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
