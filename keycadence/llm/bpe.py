@@ -25,6 +25,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
@@ -33,6 +34,8 @@ from pyspark.sql import types as T
 from .words import slices
 
 KEPT_WORDS = 200_000
+#: Rows decoded at once.
+DECODE_ROWS = 500
 
 
 @lru_cache(2)
@@ -229,31 +232,57 @@ def _appended(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([*map(batch.column, kept), values], [*kept, name])
 
 
-def encode(docs: DataFrame, path: str, column: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of a text column as ``array<int>``."""
+def _encoded(batches, path: str, column: str, out: str) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, column):
+        texts = [t or "" for t in batch.column(column).to_pylist()]
+        packed = _encoder(path).encode(texts)
+        ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
+        ids = np.frombuffer(b"".join(packed), np.int32)
+        yield _appended(batch, out, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
+
+
+@lru_cache(2)
+def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens laid end to end by rank, and where each begins."""
+    tokens = vocabulary(path)[1]
+    every = [tokens.get(rank, b"") for rank in range(max(tokens) + 1)]
+    begins = np.cumsum([0, *map(len, every)])
+    return np.frombuffer(b"".join(every), np.uint8), begins
+
+
+def _decoded(batches, path: str, column: str, out: str) -> Iterator[pa.RecordBatch]:
+    table, begins = _token_bytes(path)
+    parts = (b.slice(at, DECODE_ROWS) for b in batches for at in range(0, b.num_rows, DECODE_ROWS))
+    for batch in parts:
+        lists = batch.column(column)
+        ids = lists.flatten().to_numpy(False)  # null lists have no values here
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(False)
+        sizes = begins[ids + 1] - begins[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.arange(ends[-1]) + np.repeat(begins[ids] - ends[:-1], sizes)
+        offsets = ends[np.concatenate([[0], np.cumsum(counts)])].astype(np.int64)
+        buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(table[places].tobytes())]
+        whole = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, buffers)
+        yield _appended(batch, out, whole.cast(pa.binary()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, column):
-            texts = [t or "" for t in batch.column(column).to_pylist()]
-            packed = _encoder(path).encode(texts)
-            ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
-            ids = np.frombuffer(b"".join(packed), np.int32)
-            yield _appended(batch, out, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
 
+def encode(docs: DataFrame, path: str, column: str = "text", out: str = "ids") -> DataFrame:
+    """``docs`` with the token ids of a text column as ``array<int>``."""
     schema = with_column(docs.schema, out, T.ArrayType(T.IntegerType()))
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lambda batches: _encoded(batches, path, column, out), schema)
 
 
 def decode(docs: DataFrame, path: str, column: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the bytes that a column of token ids stands for."""
+    schema = with_column(docs.schema, out, T.BinaryType())
+    return docs.mapInArrow(lambda batches: _decoded(batches, path, column, out), schema)
+
+
+def round_trip(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
+    """``encode`` and then ``decode``, in one Python worker instead of two."""
+    schema = with_column(docs.schema, "ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = vocabulary(path)[1]
-        for batch in batches:
-            decoded = [
-                b"".join(map(tokens.__getitem__, ids or ()))
-                for ids in (x.as_py() for x in batch.column(column))
-            ]
-            yield _appended(batch, out, pa.array(decoded, pa.binary()))
-
-    return docs.mapInArrow(run, with_column(docs.schema, out, T.BinaryType()))
+        yield from _decoded(_encoded(batches, path, column, "ids"), path, "ids", "decoded")
+
+    return docs.mapInArrow(run, with_column(schema, "decoded", T.BinaryType()))

@@ -24,7 +24,7 @@ def op1_quality_rules(spark, sf_dir):
 def op2_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    both = bpe.round_trip(docs, path)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
