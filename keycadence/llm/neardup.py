@@ -1,12 +1,13 @@
 """Near-duplicate documents: a multi-index Hamming join over MinHash signatures.
 
 A document is the set of its distinct ``width``-word shingles. Its signature has
-``SYMBOLS`` MinHash values of 16 bits. Signatures are split into ``SYMBOLS / 4``
-chunks of four symbols, and each chunk is indexed with every one of its symbols
-left out. By the pigeonhole principle two signatures that differ in fewer than
-``2 * chunks`` symbols have a chunk with at most one difference, and so share a
-key: every pair under that distance is found. At a similarity of 0.8 a pair
-misses all eight chunks with probability 1e-6.
+``SYMBOLS`` MinHash values of 16 bits. Signatures are split into chunks of
+``CHUNK`` symbols, and each chunk is indexed with every one of its symbols left
+out. By the pigeonhole principle two signatures that differ in fewer than twice
+as many symbols as there are chunks have a chunk with at most one difference, and
+so share a key: every pair under that distance is found. At a similarity of 0.8
+a chunk of six is shared with probability 0.655, so a pair misses all fourteen
+with probability 3e-7.
 
 Groups stay linear:
 
@@ -14,11 +15,13 @@ Groups stay linear:
 2. Per key the smallest member is the hub, and only (member, hub) pairs are
    checked on full sets. Their links give first components.
 3. A key all of whose members are in one component is done. In the others, the
-   members outside of the hub's component are checked against those members
-   that are in another component. So each pair of one key ends up in one
-   component or is checked, and no link between components is lost.
+   members outside of the hub's component are compared with those members that
+   are in another component, by longer signatures inside the join, and what these
+   do not rule out is checked. So each pair of one key ends up in one component
+   or is compared, and no link between components is lost.
 
-Keys are exact (three symbols and the index of the chunk part in 64 bits).
+Keys hash the symbols and the index of the part into 64 bits; a collision costs a
+check and changes no result.
 
 Cases: a null text or one without words has an empty set and is linked with
 nothing; one with fewer words than ``width`` has its whole word sequence as its
@@ -29,22 +32,27 @@ linked; its component is null and it is kept. Extra columns take no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .tables import materialize
 from .words import mixed, shingles, slices, word_codes, word_hashes
 
-SYMBOLS = 32
-CHUNK = 4
+SYMBOLS = 84
+CHUNK = 6
 #: Pairs that differ in more symbols are not checked. A pair at similarity 0.8
-#: differs in 6.4 on average and in more than 22 with probability 1e-10.
-MOST_DIFFERENT = 22
+#: differs in 16.8 on average and in more than 38 with probability 1e-8.
+MOST_DIFFERENT = 38
+#: The same for the longer signatures of one bit per function, which differ in a
+#: tenth of their bits at similarity 0.8 and in more than this with probability 2e-8.
+BITS = 1024
+MOST_BITS = 155
 
 
 def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,18 +88,32 @@ def _signatures(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return found
 
 
+def _bits(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``BITS`` one-bit MinHash values of each set, packed into 64-bit words."""
+    full = np.flatnonzero(np.diff(ends))
+    found = np.zeros((len(ends) - 1, BITS), np.uint8)
+    if len(full):
+        steps = mixed(np.arange(10**6, 10**6 + BITS, dtype=np.uint64)) | np.uint64(1)
+        start = flat ^ (flat >> np.uint64(29))
+        for k in range(BITS):
+            with np.errstate(over="ignore"):
+                least = np.minimum.reduceat(start * steps[k], ends[:-1][full])
+            found[full, k] = mixed(least) & np.uint64(1)
+    return np.packbits(found, axis=1).view(np.int64)
+
+
 def _keys(signatures: np.ndarray) -> np.ndarray:
-    """Each chunk with one symbol left out: index of the part, then three symbols."""
-    wide = signatures.astype(np.int64)
-    out = np.empty((len(wide), SYMBOLS), np.int64)
+    """Each chunk with one symbol left out, hashed with the index of the part."""
+    wide = signatures.astype(np.uint64)
+    out = np.empty((len(wide), SYMBOLS), np.uint64)
     for slot in range(SYMBOLS):
         chunk, left_out = divmod(slot, CHUNK)
-        key = np.full(len(wide), slot, np.int64)
+        key = np.full(len(wide), slot, np.uint64)
         for k in range(CHUNK):
             if k != left_out:
-                key = (key << 16) | wide[:, chunk * CHUNK + k]
+                key = mixed((key << np.uint64(16)) ^ wide[:, chunk * CHUNK + k])
         out[:, slot] = key
-    return out
+    return out.view(np.int64)
 
 
 def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -114,7 +136,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     batch.column("doc_id"),
                     pa.array(np.diff(ends), pa.int64()),
                     pa.array(marks, pa.binary()),
-                    _lists(symbols.astype(np.int32).ravel(), rows),
+                    _lists(symbols.view(np.int16).ravel(), rows),
                     _lists(_keys(symbols).ravel(), rows),
                 ],
                 ["doc_id", "n_shingles", "same", "signature", "keys"],
@@ -122,10 +144,24 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run,
-        "doc_id long, n_shingles long, same binary, signature array<int>, keys array<long>",
+        "doc_id long, n_shingles long, same binary, signature array<smallint>, keys array<long>",
     )
 
 
+def long_signatures(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id, bits``: the longer signatures."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            packed = _bits(*_sets(batch.column("text"), width))
+            rows = np.arange(len(packed) + 1) * (BITS // 64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), _lists(packed.ravel(), rows)], ["doc_id", "bits"]
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, bits array<long>")
+
+
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, shingles``: the full sets."""
 
@@ -140,36 +176,51 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles array<long>")
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int):
-    """Of distinct (a, b) pairs those with ``100 * intersection >= percent * union``."""
-    slim = reps.select("doc_id", "n_shingles", "signature")
-    left, right = (
-        slim.select(F.col("doc_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in slim.columns[1:]])
-        for x in ("a", "b")
-    )
-    small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
+def _sizes_allow(percent: int) -> Column:
+    small = F.least("n_shingles_a", "n_shingles_b")
+    return 100 * small >= percent * F.greatest("n_shingles_a", "n_shingles_b")
+
+
+def _plausible() -> Column:
+    """The signatures of sides a and b do not rule a link out."""
     differing = F.aggregate(
         F.zip_with("signature_a", "signature_b", lambda x, y: (x != y).cast("int")),
         F.lit(0),
         lambda total, x: total + x,
     )
-    near = pairs.join(left, "a").join(right, "b").filter(
-        (100 * small >= percent * large) & (differing <= MOST_DIFFERENT)
-    )
-    near = materialize(near.select("a", "b"), "near")
-    wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+    return differing <= MOST_DIFFERENT
+
+
+def _bits_allow() -> Column:
+    """The longer signatures of sides a and b do not rule a link out."""
+    words = range(BITS // 64)
+    differing = [F.bit_count(F.col("bits_a")[k].bitwiseXOR(F.col("bits_b")[k])) for k in words]
+    return reduce(Column.__add__, differing) <= MOST_BITS
+
+
+def _whole(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts of distinct wanted ``doc_id``s, one row for each."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    whole = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = materialize(shingle_sets(whole, width), "sets")
-    both = near.join(
-        sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a"
-    ).join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.filter(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select(
-        "a", "b"
+    return texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def _side(rows: DataFrame, x: str) -> DataFrame:
+    """Columns of one side of a pair: the id is named ``x``, others end in it."""
+    return rows.select(
+        *[F.col(c).alias(x if c == "doc_id" else f"{c}_{x}") for c in rows.columns]
     )
 
 
+def confirmed(near: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of distinct (a, b) pairs those with ``100 * intersection >= percent * union``."""
+    wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+    sets = materialize(shingle_sets(_whole(docs, wanted), width), "sets")
+    both = near.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b")
+    shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    either = F.size("shingles_a") + F.size("shingles_b") - shared
+    return both.filter(100 * shared >= percent * either).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
     known = materialize(sketches(docs, width), "sketches")
@@ -193,7 +244,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
     own = again.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     twice = own.join(reps.select(F.col("doc_id").alias("b")).distinct(), "b", "left_semi")
-    links = materialize(confirmed(stars, reps, docs, width, percent), "links")
+    slim = reps.select("doc_id", "n_shingles", "signature")
+    near = stars.join(_side(slim, "a"), "a").join(_side(slim, "b"), "b").filter(
+        _sizes_allow(percent) & _plausible()
+    )
+    near = materialize(near.select("a", "b"), "near")
+    links = materialize(confirmed(near, docs, width, percent), "links")
     first = components(links)
     labelled = materialize(
         members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -207,20 +263,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .drop("hub"),
         "labelled",
     )
-    strays = labelled.filter("component != hub_component").drop("hub_component")
-    mixed_keys = strays.select("key").distinct()
-    others = labelled.join(mixed_keys, "key", "left_semi").select(
-        "key", F.col("doc_id").alias("other"), F.col("component").alias("other_component"),
-        (F.col("component") != F.col("hub_component")).alias("stray"),
-    )
-    rest = (
-        strays.join(others, "key")
-        .filter("component != other_component AND (NOT stray OR doc_id < other)")
-        .select(F.least("doc_id", "other").alias("a"), F.greatest("doc_id", "other").alias("b"))
-        .distinct()
+    mixed_keys = labelled.filter("component != hub_component").select("key").distinct()
+    open_rows = materialize(
+        labelled.join(mixed_keys, "key", "left_semi")
+        .withColumn("stray", F.col("component") != F.col("hub_component"))
+        .drop("hub_component"),
+        "open",
     )
-    rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    more = confirmed(rest, reps, docs, width, percent)
+    signed = materialize(
+        long_signatures(_whole(docs, open_rows.select("doc_id").distinct()), width), "bits"
+    ).join(reps.select("doc_id", "n_shingles"), "doc_id")
+    open_rows = open_rows.join(materialize(signed, "signed"), "doc_id")
+    rest = _side(open_rows.filter("stray"), "a").join(
+        _side(open_rows, "b"),
+        (F.col("key_a") == F.col("key_b"))
+        & (F.col("component_a") != F.col("component_b"))
+        & (~F.col("stray_b") | (F.col("a") < F.col("b")))
+        & _sizes_allow(percent)
+        & _bits_allow(),
+    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = materialize(rest.distinct().join(near, ["a", "b"], "left_anti"), "rest")
+    more = confirmed(rest, docs, width, percent)
     known_links = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(known_links.unionByName(more).unionByName(twice))
     by_row = (
