@@ -1,29 +1,31 @@
 """A hierarchical Pitman-Yor language model and the scores it gives to texts.
 
-Words are drawn from one restaurant whose dishes come from a spelling model: a
-hierarchy of restaurants over bytes, one for each context of up to four bytes,
-which shares its parent (the context without its oldest byte) with others, down
-to one restaurant without context over a uniform base. Contexts know bytes by
+Words are drawn from restaurants, one for each previous word (the end token
+before the first word of a text). They share the word restaurant without context
+as their parent, whose dishes come from a spelling model: a hierarchy of
+restaurants over bytes, one for each context of up to four bytes, which shares
+its parent (the context without its oldest byte) with others, down to one
+restaurant without context over a uniform base. Byte contexts know bytes by
 classes (all letters apart in the two nearest places), so that there are at most
 2^16 of them. A new table in a restaurant sends one customer to its parent.
 
-Seating is sampled by Gibbs sweeps. In a sweep every word's customers are seated
-anew, given the spelling model and the totals of the sweep before: customer after
-customer, in blocks that grow with their number, with stochastic rounding of the
-expected new tables of a block. Then the spelling restaurants are seated the same
-way. Random numbers are hashes of word, sweep and block, so a lost task seats its
-words exactly as before. The predictive probability of a word is averaged over
-the sweeps after ``BURN_IN``.
+Seating is sampled by sweeps. In a sweep the customers of every pair of words,
+then of every word are seated anew, given the parents' probabilities and the
+totals of the sweep before. This is Gibbs sampling in blocks and not customer by
+customer: the customers of a dish come in blocks that grow with their number, and
+a block opens its expected number of new tables, rounded at random. Then the
+spelling restaurants are seated the same way. Random numbers are hashes of words,
+sweep and block, so a lost task seats its words exactly as before. Predictive
+probabilities are averaged over the sweeps after ``BURN_IN``.
 
 All counts come from the whole training part. Documents are laid into chunks of
-about ``CHUNK_BYTES`` with a vocabulary each; only distinct words of a chunk are
-shuffled, to the counts and back with their scores. The spelling model has at
-most 2^24 contexts with a byte, whatever the corpus; it alone visits the driver
-and is broadcast.
-
-Word contexts are left out on purpose: nearly every word pair of a corpus is
-distinct, and shuffling them does not fit the disk limit (about 1 GB of pairs
-for 0.5 GB of documents, twice).
+about ``CHUNK_BYTES`` with a vocabulary each; only distinct words and word pairs
+of a chunk are shuffled. A pair is one 8-byte code of two word numbers, and is
+shuffled once: one that is seen once in training has one table in every sweep, so
+only pairs seen more often are seated, and only pairs that a chunk cannot judge
+by its own count are sent back to it. The spelling model has at most 2^24
+contexts with a byte, whatever the corpus; it alone visits the driver and is
+broadcast. Word numbers have 31 bits; more distinct words than that are refused.
 
 Cases: a null text is empty and has its end token. A null doc_id counts as the
 empty text where documents are divided. Without training documents every count is
@@ -41,13 +43,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import materialize
+from .tables import discard, materialize
 from .words import mixed, slices, word_codes, word_hashes
 
 CHUNK_BYTES = 16_000_000
 SWEEPS = 4
 BURN_IN = 1
 STRENGTH = 10.0
+#: Of the restaurants with a previous word.
+PAIR_STRENGTH = 1.0
+#: Pairs that one task groups.
+PART_PAIRS = 2_000_000
 SPELL_DISCOUNT, SPELL_STRENGTH = 0.5, 2.0
 #: Stands for the end of a text; no word holds white space.
 END = b"\n"
@@ -206,6 +212,7 @@ def _spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class Sweep:
     spelling: Spelling
     tables: float  # all tables of the word restaurant
+    customers: int  # and all its customers
 
 
 class Words:
@@ -227,105 +234,295 @@ class Words:
         if before is None:
             return np.minimum(self.counts, 1).astype(float)
         new = (STRENGTH + self.discount * before.tables) * self.spelled(before)
+        return tables(self.counts, new, self.discount, _uniform(self.hashes, number))
+
 
-        def uniform(k: int, rows: np.ndarray) -> np.ndarray:
-            salt = mixed(np.array([number * 1000 + k], np.uint64))
-            return (mixed(self.hashes[rows] ^ salt) >> np.uint64(11)) / float(1 << 53)
+def _uniform(hashes: np.ndarray, number: int):
+    """Random numbers for ``tables`` in a sweep."""
 
-        return tables(self.counts, new, self.discount, uniform)
+    def draw(k: int, rows: np.ndarray) -> np.ndarray:
+        salt = mixed(np.array([number * 1000 + k], np.uint64))
+        return (mixed(hashes[rows] ^ salt) >> np.uint64(11)) / float(1 << 53)
+
+    return draw
 
 
 def _word_batches(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for at in range(0, batch.num_rows, 50_000):
             part = batch.slice(at, 50_000)
-            yield part.column("word").to_pylist(), part.column("n").to_numpy(False)
+            yield part, part.column("word").to_pylist(), part.column("customers").to_numpy(False)
 
 
-def gibbs(vocabulary: DataFrame, discount: float) -> list[Sweep]:
-    """The sweeps of the sampler over ``word, n`` rows."""
-    spark = vocabulary.sparkSession
-    sweeps: list[Sweep] = []
-    for number in range(SWEEPS + 1):
-        before = spark.sparkContext.broadcast(sweeps[-1] if sweeps else None)
-
-        def run(batches, number=number, before=before):
-            total = 0.0
-            keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            for words, n in _word_batches(batches):
-                batch = Words(words, n, discount)
-                seats = batch.seats(number, before.value)
-                total += seats.sum()
-                both = np.concatenate([keys, batch.keys])
-                weight = np.concatenate([counts, seats[batch.owner]])
-                keys, place = np.unique(both, return_inverse=True)
-                counts = np.bincount(place, weight).astype(np.int64)
+def _discount(once: int, twice: int, most: float) -> float:
+    """The usual estimate of a discount from what is seen once and twice."""
+    return min(max((once + 1) / (once + 2 * twice + 2), 0.1), most)
+
+
+def numbered(vocabulary: DataFrame) -> DataFrame:
+    """``word, n`` with ``number`` (counted from 0) and ``mark``, a hash of the word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            words = batch.column("word")
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(keys, -1)), pa.array(np.append(counts, int(total)))],
-                ["key", "n"],
+                [
+                    words, batch.column("n"), pa.array(np.full(len(words), part, np.int32)),
+                    pa.array(np.arange(at, at + len(words))),
+                    pa.array(word_hashes(words.to_pylist()).view(np.int64)),
+                ],
+                ["word", "n", "part", "place", "mark"],
             )
+            at += len(words)
+
+    stored = materialize(
+        vocabulary.mapInArrow(run, "word binary, n long, part int, place long, mark long"),
+        "vocabulary",
+    )
+    sizes = {r.part: r.n for r in stored.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    each = [sizes.get(k, 0) for k in range(max(sizes, default=0) + 1)]
+    if sum(each) >= 1 << 31:
+        raise ValueError("more distinct words than word numbers")
+    first = F.array(*[F.lit(int(x)).cast("long") for x in np.cumsum([0, *each])])
+    number = F.get(first, F.col("part")) + F.col("place")
+    return stored.select("word", "n", number.alias("number"), "mark")
+
+
+def _pair_codes(chunk: dict, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all tokens of a chunk: code of the word before, code, and pair of numbers."""
+    codes = np.frombuffer(chunk["codes"], np.int32)
+    sizes = np.array(chunk["sizes"], np.int64)
+    before = np.roll(codes, 1)
+    before[np.cumsum(sizes) - sizes] = len(numbers) - 1
+    return before, codes, numbers[before] << 32 | numbers[codes]
 
-        sums = vocabulary.mapInArrow(run, "key long, n long").groupBy("key").agg(
-            F.sum("n").alias("n")
-        )
-        found = sums.toPandas().sort_values("key")
-        keys, counts = found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
-        total = int(counts[keys < 0].sum())
-        counts, keys = counts[keys >= 0], keys[keys >= 0]
-        last = sweeps[-1].spelling if sweeps else None
-        sweeps.append(Sweep(fitted(keys[counts > 0], counts[counts > 0], last, number), total))
-    return sweeps
 
+def _pair_counts(chunk: dict, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs, the place of each token's pair, and the training counts."""
+    distinct, place = np.unique(pairs, return_inverse=True)
+    train = np.repeat(~np.array(chunk["held"], bool), chunk["sizes"])
+    return distinct, place, np.bincount(place[train], minlength=len(distinct))
 
-def scored_words(vocabulary: DataFrame, sweeps: list[Sweep], total: int, discount: float) -> DataFrame:
-    """``word, n, score``: log10 of the averaged predictive probability."""
-    sent = vocabulary.sparkSession.sparkContext.broadcast(sweeps)
+
+def shared_pairs(laid: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``part, pair, n, first``: the training count of each pair in each chunk that
+    cannot know it; ``first`` is true for one row of each pair."""
+
+    def made(documents: pa.Table, known: pa.Table) -> pa.Table:
+        order = np.argsort(known["code"].to_numpy())
+        chunk = documents.to_pylist()[0]
+        pairs = _pair_codes(chunk, known["number"].to_numpy()[order])[2]
+        distinct, _, counts = _pair_counts(chunk, pairs)
+        part = np.full(len(distinct), chunk["chunk"], np.int64)
+        return pa.table({"pair": distinct, "part": part, "n": counts.astype(np.int64)})
+
+    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[c.to_numpy(False) for c in b.columns] for b in batches if b.num_rows]
+        if not parts:
+            return
+        pair, part, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(pair)
+        pair, part, n = pair[order], part[order], n[order]
+        first = np.concatenate([[True], pair[1:] != pair[:-1]])
+        start = np.flatnonzero(first)
+        total = np.repeat(np.add.reduceat(n, start), np.diff(np.append(start, len(pair))))
+        sent = (total > 1) | (total != n)
+        table = pa.table({"part": part[sent], "pair": pair[sent], "n": total[sent], "first": first[sent]})
+        yield from table.to_batches(max_chunksize=100_000)
+
+    tokens = laid.agg(F.sum(F.length("codes") / 4)).first()[0] or 0
+    every = (
+        laid.select("chunk", "held", "sizes", "codes")
+        .groupBy("chunk")
+        .cogroup(numbers.groupBy("part"))
+        .applyInArrow(made, "pair long, part long, n long")
+    )
+    dealt = every.repartition(1 + int(tokens) // PART_PAIRS, "pair")
+    return materialize(
+        dealt.mapInArrow(grouped, "part long, pair long, n long, first boolean"), "pairs"
+    )
+
+
+def _seated_pairs(pairs: DataFrame, words: DataFrame, number: int, discount: float) -> DataFrame:
+    """``pairs`` with their tables in a sweep, given ``words`` of the sweep before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, n in _word_batches(batches):
-            batch, chain = Words(words, n, discount), sent.value
-            p = np.zeros(len(words))
-            for number in range(BURN_IN + 1, len(chain)):
-                now = chain[number]
-                seats = batch.seats(number, chain[number - 1])
-                new = (STRENGTH + discount * now.tables) * batch.spelled(now)
-                p += (n - discount * seats + new) / (STRENGTH + total)
-            logs = np.log10(p / (len(chain) - 1 - BURN_IN))
+        for batch in batches:
+            pair, n, kept, p, opened, after, before = (c.to_numpy(False) for c in batch.columns)
+            hashes = mixed(after.view(np.uint64) ^ mixed(before.view(np.uint64)))
+            new = (PAIR_STRENGTH + discount * opened) * p
+            seats = tables(n, new, discount, _uniform(hashes, number)).astype(np.int64)
+            kept = kept + seats * (number > BURN_IN)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(n), pa.array(logs)], ["word", "n", "score"]
+                [pa.array(x) for x in (pair, n, seats, kept)], ["pair", "n", "seats", "kept"]
             )
 
-    return vocabulary.mapInArrow(run, "word binary, n long, score double")
+    word, previous = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("pair", 32)
+    one = words.select(F.col("number").alias("w"), "p", F.col("mark").alias("after"))
+    two = words.select(F.col("number").alias("u"), "opened", F.col("mark").alias("before"))
+    joined = (
+        pairs.withColumns({"w": word, "u": previous}).join(one, "w").join(two, "u")
+        .select("pair", "n", "kept", "p", "opened", "after", "before")
+    )
+    return materialize(
+        joined.mapInArrow(run, "pair long, n long, seats long, kept long"), f"pair-seats-{number}"
+    )
+
+
+def _customers(words: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``words`` with their ``customers`` (tables of the restaurants above) and with
+    the tables ``opened`` in the restaurant that has the word as its context.
+
+    Tables and customers differ only for pairs seen more than once.
+    """
+    fewer = F.sum(F.col("n") - F.col("seats")).alias("fewer")
+    sums = [
+        pairs.groupBy(place.alias("number")).agg(fewer.alias(name))
+        for place, name in (
+            (F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)), "fewer_in"),
+            (F.shiftright("pair", 32), "fewer_out"),
+        )
+    ]
+    both = words.join(sums[0], "number", "left").join(sums[1], "number", "left")
+    zero = F.lit(0).cast("long")
+    return both.withColumns({
+        "customers": F.col("n") - F.coalesce("fewer_in", zero),
+        "opened": F.col("n") - F.coalesce("fewer_out", zero),
+    }).drop("fewer_in", "fewer_out")
+
+
+def _swept(words: DataFrame, number: int, last: Sweep | None, discount: float) -> Sweep:
+    """Seat the words' customers and then the spelling restaurants."""
+    before = words.sparkSession.sparkContext.broadcast(last)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = everyone = 0.0
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for _, spelt, n in _word_batches(batches):
+            batch = Words(spelt, n, discount)
+            seats = batch.seats(number, before.value)
+            total += seats.sum()
+            everyone += n.sum()
+            both = np.concatenate([keys, batch.keys])
+            weight = np.concatenate([counts, seats[batch.owner]])
+            keys, place = np.unique(both, return_inverse=True)
+            counts = np.bincount(place, weight).astype(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([keys, [-1, -2]])),
+                pa.array(np.concatenate([counts, [int(total), int(everyone)]])),
+            ],
+            ["key", "n"],
+        )
+
+    sums = words.select("word", "customers").mapInArrow(run, "key long, n long").groupBy("key").agg(
+        F.sum("n").alias("n")
+    )
+    found = sums.toPandas().sort_values("key")
+    keys, counts = found["key"].to_numpy(np.int64), found["n"].to_numpy(np.int64)
+    total, everyone = (int(counts[keys == k].sum()) for k in (-1, -2))
+    some = (keys >= 0) & (counts > 0)
+    spelling = fitted(keys[some], counts[some], last.spelling if last else None, number)
+    return Sweep(spelling, total, everyone)
+
+
+def _predicted(words: DataFrame, number: int, chain: list[Sweep], discount: float) -> DataFrame:
+    """``words`` with their predictive probability ``p`` without context."""
+    sent = words.sparkSession.sparkContext.broadcast(chain[-2:])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, last = sent.value[-1], sent.value[0] if number else None
+        for rows, spelt, n in _word_batches(batches):
+            batch = Words(spelt, n, discount)
+            new = (STRENGTH + discount * now.tables) * batch.spelled(now)
+            p = (n - discount * batch.seats(number, last) + new) / (STRENGTH + now.customers)
+            yield rows.append_column("p", pa.array(p))
+
+    kept = words.drop("p")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return kept.mapInArrow(run, f"{fields}, p double")
 
 
 def text_scores(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     laid = materialize(chunks(docs), "chunks")
-    words = laid.select(F.col("chunk").alias("part"), F.posexplode(F.arrays_zip("words", "counts")).alias("code", "x"))
-    words = words.select("part", "code", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
-    vocabulary = materialize(words.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
+    listed = laid.select(F.col("chunk").alias("part"), F.posexplode(F.arrays_zip("words", "counts")).alias("code", "x"))
+    listed = listed.select("part", "code", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
+    vocabulary = numbered(listed.groupBy("word").agg(F.sum("n").alias("n")))
+    codes = listed.drop("n")
+    shared = shared_pairs(laid, codes.join(vocabulary, "word").select("part", "code", "number"))
+    pairs = shared.filter("first AND n > 1").select(
+        "pair", "n", F.lit(1).cast("long").alias("seats"), F.lit(0).cast("long").alias("kept")
+    )
     row = vocabulary.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.count_if(F.col("n") > 0).alias("distinct"),
-        F.count_if(F.col("n") == 1).alias("once"),
-        F.count_if(F.col("n") == 2).alias("twice"),
     ).first()
-    # the usual estimate of a discount from words seen once and twice
-    discount = min(max((row.once + 1) / (row.once + 2 * row.twice + 2), 0.1), 0.95)
-    sweeps = gibbs(vocabulary, discount)
-    scored = materialize(scored_words(vocabulary, sweeps, row.total, discount), "word-scores")
-    looked_up = words.drop("n").join(scored, "word").select("part", "code", "n", "score")
     total, distinct = row.total, row.distinct
+    row = pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("often"), F.count_if(F.col("n") == 2).alias("twice")
+    ).first()
+    pair_discount = _discount(total - row.often, row.twice, 0.99)
+
+    words, chain, discount = vocabulary, [], 0.0
+    for number in range(SWEEPS + 1):
+        if number:
+            last = pairs
+            pairs = _seated_pairs(last, words, number, pair_discount)
+            if number > 1:
+                discard(last)
+        seated = materialize(_customers(words.drop("customers", "opened"), pairs), f"customers-{number}")
+        if not number:
+            row = seated.agg(
+                F.count_if(F.col("customers") == 1).alias("once"),
+                F.count_if(F.col("customers") == 2).alias("twice"),
+            ).first()
+            discount = _discount(row.once, row.twice, 0.95)
+        chain.append(_swept(seated, number, chain[-1] if chain else None, discount))
+        older, words = words, _predicted(seated, number, chain, discount)
+        if number > BURN_IN:
+            words = words.withColumns({f"p{number}": F.col("p"), f"opened{number}": F.col("opened")})
+        words = materialize(words, f"words-{number}")
+        discard(seated, *[older] * (number > 0))
+
+    kept = range(BURN_IN + 1, SWEEPS + 1)
+    values = [f"{name}{k}" for name in ("p", "opened") for k in kept]
+    own = F.col("n") - F.col("kept") * pair_discount / len(kept)
+    judged = shared.select("part", "pair", "n").join(
+        pairs.select("pair", own.alias("own")), "pair", "left"
+    )
+    nothing = F.lit(None).cast("double")
+    known = codes.join(words, "word").select(
+        "part", F.col("code").cast("long").alias("code"), "number", "n", nothing.alias("own"),
+        *[F.col(c).cast("double").alias(c) for c in values],
+    ).unionByName(judged.select(
+        "part", F.col("pair").alias("code"), F.lit(-1).cast("long").alias("number"), "n",
+        F.coalesce("own", F.col("n") * (1 - pair_discount)).alias("own"),
+        *[nothing.alias(c) for c in values],
+    ))
 
     def run(documents: pa.Table, known: pa.Table) -> pa.Table:
-        order = np.argsort(known["code"].to_numpy())
-        n, score = known["n"].to_numpy()[order], known["score"].to_numpy()[order]
+        number, code = known["number"].to_numpy(), known["code"].to_numpy()
+        word, back = np.flatnonzero(number >= 0), np.flatnonzero(number < 0)
+        word = word[np.argsort(code[word])]
+        n = known["n"].to_numpy()[word]
         base = np.log10((n + 0.1) / (total + 0.1 * (distinct + 1)))
         chunk = documents.to_pylist()[0]
-        codes = np.frombuffer(chunk["codes"], np.int32)
+        before, codes, pairs = _pair_codes(chunk, number[word])
+        distinct_pairs, place, counts = _pair_counts(chunk, pairs)
+        # a pair that is not sent back has its only customer, if any, in this chunk
+        add = counts * (1 - pair_discount)
+        add[np.searchsorted(distinct_pairs, code[back])] = known["own"].to_numpy()[back]
+        p = np.zeros(len(codes))
+        for k in kept:
+            of_word, opened = (known[f"{c}{k}"].to_numpy()[word] for c in ("p", "opened"))
+            p += (PAIR_STRENGTH + pair_discount * opened)[before] * of_word[codes]
+        score = np.log10((add[place] + p / len(kept)) / (PAIR_STRENGTH + n[before]))
         sizes = np.array(chunk["sizes"], np.int64)
         starts = np.cumsum(sizes) - sizes
-        sums = [np.add.reduceat(x[codes], starts) for x in ((n > 0).astype(np.int64), base, score)]
+        columns = ((n > 0).astype(np.int64)[codes], base[codes], score)
+        sums = [np.add.reduceat(x, starts) for x in columns]
         return pa.table({
             "doc_id": pa.array(chunk["ids"], pa.int64()),
             "held_out": pa.array(chunk["held"], pa.bool_()),
@@ -339,7 +536,7 @@ def text_scores(docs: DataFrame) -> DataFrame:
     return (
         laid.select("chunk", "ids", "held", "sizes", "codes")
         .groupBy("chunk")
-        .cogroup(looked_up.groupBy("part"))
+        .cogroup(known.groupBy("part"))
         .applyInArrow(
             run,
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

@@ -197,6 +197,17 @@ def test_language_model(docs, texts, none):
     assert lm.text_scores(none).count() == 0
 
 
+def test_language_model_knows_the_word_before(spark):
+    pair = "alpha beta gamma delta epsilon"
+    rows = [(i, pair) for i in range(60)]
+    held = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    rows += [(held[0], pair), (held[1], "delta alpha epsilon beta gamma")]
+    got = {r.doc_id: r for r in lm.text_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held[0]].held_out and got[held[1]].held_out
+    assert abs(got[held[0]].base_score - got[held[1]].base_score) < 1e-9
+    assert got[held[0]].score > got[held[1]].score + 3
+
+
 def test_predictive_probabilities_sum_to_one():
     keys = np.array([0x1234 << 8 | c for c in (97, 98, 99)])
     model = lm.fitted(keys, np.array([5, 3, 1]), None, 1)
