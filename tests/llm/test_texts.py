@@ -100,6 +100,26 @@ def test_near_passage_and_cut(spark, texts):
     assert len(left[2].split()) < 80
 
 
+def _shingled(words):
+    codes = np.array([zlib.crc32(w.encode()) for w in words], np.uint64)
+    return passages.shingles(codes, passages.SHINGLE)
+
+
+def test_single_edits_at_every_place():
+    for n in (50, 57, 60, 70, 80):
+        words = [f"w{i}" for i in range(n)]
+        for place in range(n):
+            other = [*words[:place], "edited", *words[place + 1 :]]
+            for more in ([], [f"x{i}" for i in range(40)]):
+                a = _shingled([*more, *other, *(w + "y" for w in more)])
+                b = _shingled([*(w + "z" for w in more), *words, *(w + "q" for w in more)])
+                spans = passages.similar_spans(a, b, 46)
+                assert spans and all(size >= 46 for _, size in spans)
+                covered = {k for s, size in spans for k in range(s, s + size + 4)}
+                # the longer part of the passage is found whole, at least
+                assert len(covered & set(range(len(more), len(more) + n))) >= 45
+
+
 def test_windows_cover_each_run():
     rng = np.random.default_rng(3)
     for _ in range(30):
