@@ -120,6 +120,16 @@ def test_single_edits_at_every_place():
                 assert len(covered & set(range(len(more), len(more) + n))) >= 45
 
 
+def test_two_edited_passages_on_one_diagonal():
+    head, foot = ([f"{c}{i}" for i in range(70)] for c in "hf")
+    edit = lambda x: [*x[:35], "edited", *x[36:]]
+    for gap in (30, 200):
+        a = _shingled([*edit(head), *(f"own{i}" for i in range(gap)), *edit(foot)])
+        b = _shingled([*head, *(f"other{i}" for i in range(gap)), *foot])
+        spans = passages.similar_spans(a, b, 46)
+        assert sorted(spans) == [(0, 66), (70 + gap, 66)]
+
+
 def test_windows_cover_each_run():
     rng = np.random.default_rng(3)
     for _ in range(30):
