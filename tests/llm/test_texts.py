@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -130,6 +131,30 @@ def test_two_edited_passages_on_one_diagonal():
         assert sorted(spans) == [(0, 66), (70 + gap, 66)]
 
 
+def test_near_passage_whose_keys_belong_to_another(spark):
+    rng = np.random.default_rng(11)
+    fresh = lambda n: [f"v{x}" for x in rng.integers(0, 1 << 40, n)]
+    passage = fresh(60)
+    other = [*passage[:30], "edited", *passage[31:]]
+    hub = []
+    for fn in range(passages.FUNCTIONS):
+        for keys in (passage, other):
+            def ranks(words, fn=fn):
+                runs = passages.Runs(pa.array([" ".join(words)]), 50)
+                return passages.mixed(runs.values ^ passages.mixed(np.array([fn + 1], np.uint64)))
+
+            at = int(np.argmin(ranks(keys)))
+            while True:
+                part = [*fresh(45), *keys[at : at + 5]]
+                if np.argmin(ranks(part)) == 45:
+                    break
+            hub += part
+    rows = [(1, " ".join(hub)), (2, " ".join(fresh(70) + passage)), (3, " ".join(fresh(90) + other))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.repeated_passages(frame).collect()
+    assert {(r.doc_id, r.source_id, r.start_word, r.end_word) for r in found} == {(3, 2, 90, 150)}
+
+
 def test_windows_cover_each_run():
     rng = np.random.default_rng(3)
     for _ in range(30):
