@@ -41,7 +41,7 @@ BASE = {
 NEEDED = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 #: Looser shapes that contexts may confirm.
 LOOSE = {
-    "email": r"(?<!\S)[^\s@]{1,64}+(?:@|\(at\)|\[at\])[^\s@]{1,253}+",
+    "email": r"(?<!\S)(?:[^\s@]{1,64}+@|[^\s@]{1,64}? ?(?:\(at\)|\[at\]) ?)[^\s@]{1,253}+",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:[.,][0-9]{1,3}){3}(?![0-9.])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ ._/-]?[0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9])\(?[0-9]{2,4}\)?(?:[ ./-]{1,2}[0-9]{2,4}){2,4}(?![0-9])",

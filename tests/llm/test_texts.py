@@ -186,6 +186,19 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert out[99] == rows[-1][1]
 
 
+def test_contexts_discover_obfuscated_addresses(spark):
+    hidden = ["john(at)example.com", "john[at]example.com", "john (at) example.com", "a(at)b@host"]
+    rows = [(i, f"word{i} please write to user{i}@example.com soon many thanks") for i in range(80)]
+    rows += [(100 + i, f"word{i} please write to {x} soon many thanks") for i, x in enumerate(hidden)]
+    rows.append((200, "meet us(at)noon today"))
+    out = {r.doc_id: r.text for r in pii.redacted(
+        spark.createDataFrame(rows, "doc_id long, text string")
+    ).collect()}
+    for i in range(len(hidden)):
+        assert out[100 + i] == f"word{i} please write to [EMAIL] soon many thanks"
+    assert out[200] == rows[-1][1]
+
+
 def test_bpe_equals_tiktoken(docs, texts, none):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks, _ = bpe.vocabulary(path)
