@@ -177,8 +177,9 @@ class _Source:
 def _inflate(source: _Source, at: int, most: int | None) -> tuple[bytes, int] | None:
     """A member's bytes and its end; None if there is no whole member at ``at``.
 
-    With ``most``, only about so many bytes of it, and no end.
+    With ``most``, only about so many bytes of it, enough for the version, and no end.
     """
+    least = len(b"WARC/1.")
     unpack, out, used = zlib.decompressobj(31), [], at - source.start
     try:
         while True:
@@ -191,7 +192,7 @@ def _inflate(source: _Source, at: int, most: int | None) -> tuple[bytes, int] |
             out.append(unpack.decompress(chunk, most or 0))
             if unpack.eof:
                 return b"".join(out), source.start + used - len(unpack.unused_data)
-            if most and any(out):
+            if most and sum(map(len, out)) >= least:
                 return b"".join(out), -1
     except zlib.error:
         return None

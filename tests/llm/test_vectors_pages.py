@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import io
 
 import numpy as np
 import pytest
@@ -105,3 +106,19 @@ def test_short_payloads_are_all_responses_and_empty_table(pages):
     rows = warc.archived(pages, least=10).collect()
     assert all(r.record_type == "response" for r in rows if r.payload_bytes < 10)
     assert warc.archived(pages.limit(0)).count() == 0
+
+
+def test_member_cut_by_the_read_buffer_is_not_stepped_over():
+    data = warc.record(1, "http://a/b", b"some page", None, False)
+
+    class Short(io.BytesIO):
+        first = 0
+
+        def read(self, size=-1):
+            size, self.first = self.first or size, 0
+            return super().read(size)
+
+    for cut in range(10, len(data)):
+        file = Short(data)
+        file.first = cut
+        assert len(list(warc.records_in(file, 0, len(data)))) == 1
