@@ -6,6 +6,10 @@ tests hold them against brute force.
 
 from __future__ import annotations
 
+from itertools import permutations
+
+from .mixing import MOST, SCHEDULES, SHARE, areas
+
 BLANK = r"[\x20\x09-\x0D]+"
 
 QUALITY = rf"""
@@ -72,4 +76,184 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
 FROM hashed
 """
 
-ORACLE: dict[str, str] = {"op1_quality_rules": QUALITY, "op7_warc": WARC}
+
+
+def _audit_sql() -> str:
+    steps = ", ".join(
+        f"('{''.join(order)}', {k + 1}, {1 << 'ABCDE'.index(name)}, "
+        f"{sum(1 << 'ABCDE'.index(x) for x in order[:k])})"
+        for order in permutations("ABCDE")
+        for k, name in enumerate(order)
+    )
+    return rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANK}'), lambda x: x <> '') AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents
+),
+masks AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < 100 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text)
+        THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > first THEN 16 ELSE 0 END AS mask
+  FROM d
+),
+known AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+  FROM labels GROUP BY doc_id
+),
+judged AS (
+  SELECT masks.*, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN mask = 0 THEN 0 ELSE 120 // bit_count(mask) END AS share
+  FROM masks LEFT JOIN known ON masks.doc_id = known.doc_id
+),
+counts AS (
+  SELECT part, mask, share, count(*) AS n, sum(CAST(good AS INT)) AS good,
+    sum(CAST(toxic AS INT)) AS toxic
+  FROM judged GROUP BY ALL
+),
+steps(filter_order, step, bit, earlier) AS (VALUES {steps})
+SELECT part, filter_order, CAST(step AS INT) AS step,
+  CAST(sum(CASE WHEN mask & (bit | earlier) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+  CAST(sum(CASE WHEN mask & earlier = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+  CAST(sum(CASE WHEN mask & earlier <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS BIGINT)
+    AS redundant,
+  CAST(sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN mask & earlier = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS BIGINT)
+    AS good_lost,
+  CAST(sum(CASE WHEN mask & earlier = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS BIGINT)
+    AS toxic_lost,
+  CAST(sum(CASE WHEN mask & bit <> 0 THEN n * share ELSE 0 END) AS BIGINT) AS shapley
+FROM counts, steps GROUP BY part, filter_order, step
+"""
+
+
+def _time_sql(part: str, schedule) -> str:
+    """The inverse of a schedule's integral, as the operator forms it."""
+    sums = areas(schedule)
+    wanted, out = f"({part} * {_double(sums[-1])})", _double(schedule[-1][0])
+    for k in reversed(range(len(schedule) - 1)):
+        (t, a), (u, b) = schedule[k : k + 2]
+        rest = f"({wanted} - {_double(sums[k])})"
+        slope = _double(2 * (b - a) / (u - t))
+        root = f"sqrt(greatest({_double(a * a)} + {rest} * {slope}, {_double(0)}))"
+        inside = (
+            f"{_double(t)} + CASE WHEN {rest} > 0 "
+            f"THEN {rest} * 2 / ({root} + {_double(a)}) ELSE 0 END"
+        )
+        out = f"CASE WHEN {wanted} <= {_double(sums[k + 1])} THEN {inside} ELSE {out} END"
+    return out
+
+
+def _double(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def _mixing_sql() -> str:
+    weights = ", ".join(_double(areas(s)[-1]) for s in SCHEDULES)
+    part = "(CAST(start AS DOUBLE) / CAST(asked AS DOUBLE))"
+    times = " ".join(f"WHEN {k} THEN {_time_sql(part, s)}" for k, s in enumerate(SCHEDULES))
+    return rf"""
+WITH d AS (
+  SELECT doc_id, source, md5(concat_ws(':', '1', CAST(doc_id AS VARCHAR))) AS mark,
+    CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '{BLANK}'), lambda x: x <> ''))
+      AS BIGINT) AS size
+  FROM documents
+),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    CAST(row_number() OVER (ORDER BY source NULLS LAST) - 1 AS INT) % {len(SCHEDULES)} AS turn
+  FROM d GROUP BY source
+),
+w AS (
+  SELECT *, [{weights}][turn + 1] AS weight, {MOST} * source_size AS most FROM s
+),
+-- with sources in the order in which they reach their limits, the level once the first k did
+ordered AS (
+  SELECT *, row_number() OVER (ORDER BY most / weight, source) AS place,
+    coalesce(sum(most) OVER (ORDER BY most / weight, source
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reached,
+    sum(weight) OVER (ORDER BY most / weight, source
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS unmet,
+    {_double(SHARE)} * sum(source_size) OVER () AS wanted
+  FROM w
+),
+level AS (
+  SELECT (wanted - reached) / unmet AS level FROM ordered
+  WHERE (wanted - reached) / unmet * weight <= most ORDER BY place LIMIT 1
+),
+targets AS (
+  SELECT source, source_size, turn,
+    least(level * weight, CAST(most AS DOUBLE)) AS target FROM w, level
+),
+placed AS (
+  SELECT d.*, source_size, turn, target, CAST(floor(target + 0.5) AS BIGINT) AS asked,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY mark, doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d JOIN targets ON d.source IS NOT DISTINCT FROM targets.source
+),
+parts AS (
+  SELECT *, CASE WHEN source_size > 0 THEN asked // source_size ELSE 0 END AS rounds FROM placed
+),
+taken AS (
+  SELECT *, CAST(rounds * size
+    + least(greatest(asked - rounds * source_size - start, 0), size) AS BIGINT) AS taken FROM parts
+)
+SELECT doc_id, source, size, source_size, target, taken,
+  CASE WHEN taken > 0 THEN round(CASE turn {times} END, 6) END AS first_position
+FROM taken
+"""
+
+
+def _clustering_sql(k: int = 16, size: int = 64, rounds: int = 3) -> str:
+    apart = "list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    out = f"""
+WITH x AS MATERIALIZED (
+  SELECT vec_id,
+    list_transform(embedding, lambda e: CAST(floor(64 * CAST(e AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = {size}
+    AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {size}
+),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INT) AS k, v FROM (
+    SELECT sha256(concat('1:', CAST(vec_id AS VARCHAR))) AS h, v FROM x ORDER BY h LIMIT {k})
+)"""
+    for r in range(rounds + 1):
+        out += f""",
+a{r} AS MATERIALIZED (
+  SELECT vec_id, x.v AS v, min(struct_pack(d := CAST({apart} AS BIGINT), k := c.k)) AS best
+  FROM x, c{r} c GROUP BY vec_id, x.v
+)"""
+        if r < rounds:
+            out += f""",
+m{r} AS (
+  SELECT k, list(mean ORDER BY i) AS v FROM (
+    SELECT k, i, CAST((sum(e) - ((sum(e) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT)
+      AS mean
+    FROM (SELECT best.k AS k, unnest(range(0, {size})) AS i, unnest(v) AS e FROM a{r})
+    GROUP BY k, i) GROUP BY k
+),
+c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.k, coalesce(m{r}.v, c{r}.v) AS v FROM c{r} LEFT JOIN m{r} ON c{r}.k = m{r}.k
+)"""
+    return out + f"""
+SELECT vec_id, best.k AS cluster, best.d AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c ON c.k = best.k
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": QUALITY,
+    "op7_warc": WARC,
+    "op11_filter_audit": _audit_sql(),
+    "op12_source_mixing": _mixing_sql(),
+    "op13_centroid_clustering": _clustering_sql(),
+}

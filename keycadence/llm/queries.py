@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann, bpe, licences, lm, neardup, packing, passages, pii, quality, warc
+from . import (
+    ann,
+    audit,
+    bpe,
+    clustering,
+    licences,
+    lm,
+    mixing,
+    neardup,
+    packing,
+    passages,
+    pii,
+    quality,
+    warc,
+)
 from .shipping import ship
 
 
@@ -86,6 +100,22 @@ def op10_substring_dedup(spark, sf_dir):
     return passages.repeated_passages(_read(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark, sf_dir):
+    return audit.filter_audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op12_source_mixing(spark, sf_dir):
+    first = F.get("reads", F.lit(0))["position"]
+    return mixing.mixed(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "source", "size", "source_size", "target", "taken",
+        F.round(first, 6).alias("first_position"),
+    )
+
+
+def op13_centroid_clustering(spark, sf_dir):
+    return clustering.centroid_clusters(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_byte_bpe": op2_byte_bpe,
@@ -97,4 +127,7 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_source_mixing": op12_source_mixing,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }

@@ -12,7 +12,7 @@ from ..conftest import SMALL_DIR
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL_DIR}/{table}.parquet')")
     wanted = con.execute(ORACLE[name])
     names = [d[0] for d in wanted.description]
@@ -24,4 +24,4 @@ def test_matches_sql(spark, name):
 
 def test_all_queries_are_registered():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
