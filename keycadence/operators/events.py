@@ -83,19 +83,41 @@ def with_event_time(events: DataFrame) -> DataFrame:
     return events.withColumn("event_ts", event_time(F.col("timestamp")))
 
 
-def unreadable_events(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Records that give no event at all, with the text and the reason.
+def unreadable_reason() -> Column:
+    """Why a parsed record with its ``json`` gives no event at all, null if it does.
 
     ``empty`` has no text, ``malformed`` has text in which not one event field
     was found. One field of a wrong type does not make a record unreadable.
     """
-    found = parse_events(decoded, keep=[*keep, "json"])
     nothing = F.lit(True)
     for name in EVENT_SCHEMA.names:
         nothing = nothing & F.col(name).isNull()
     blank = F.col("json").isNull() | (F.trim("json") == "")
-    return found.filter(nothing).select(
-        *keep, "json", F.when(blank, "empty").otherwise("malformed").alias("reason")
+    return F.when(nothing, F.when(blank, "empty").otherwise("malformed"))
+
+
+def unreadable_events(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Records that give no event at all, with the text and the reason."""
+    found = parse_events(decoded, keep=[*keep, "json"])
+    return found.select(*keep, "json", unreadable_reason().alias("reason")).filter(
+        "reason IS NOT NULL"
+    )
+
+
+def service_events(decoded: DataFrame) -> DataFrame:
+    """What a service needs of each record, from one parse.
+
+    ``reason`` and ``json`` of records that cannot be read; kind, user, speed and
+    accuracy of the others.
+    """
+    found = parse_events(decoded, keep=["json"]).select("*", unreadable_reason().alias("reason"))
+    return found.select(
+        "reason",
+        F.when(F.col("reason").isNotNull(), F.col("json")).alias("json"),
+        "eventType",
+        "userId",
+        F.col("data.wpm").alias("wpm"),
+        F.col("data.accuracy").alias("accuracy"),
     )
 
 

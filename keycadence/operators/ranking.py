@@ -57,17 +57,27 @@ def with_global_rank(stats: DataFrame) -> DataFrame:
     ).drop("population")
 
 
+def with_rank_against(stats: DataFrame, mean: float, spread: float) -> DataFrame:
+    """Adds ``global_rank`` against a population that is known already."""
+    band = rank_band(F.col("avg_wpm"), F.lit(mean), F.lit(spread))
+    return stats.withColumn("global_rank", band)
+
+
 def with_performance_trend(stats: DataFrame) -> DataFrame:
     return stats.withColumn("performance_trend", performance_trend(F.col("avg_wpm")))
 
 
-def result_records(stats: DataFrame, at: Column | None = None) -> DataFrame:
+def result_records(
+    stats: DataFrame, at: Column | None = None, population: tuple[float, float] | None = None
+) -> DataFrame:
     """The record delivered per user: rounded averages, count, band, trend, time.
 
-    Bands are taken on unrounded averages. A missing accuracy stays null.
+    Bands are taken on unrounded averages, against the mean and spread of ``stats``
+    or those given as ``population``. A missing accuracy stays null.
     """
     narrow = stats.select("userId", "avg_wpm", "avg_accuracy", "keystroke_count")
-    return with_performance_trend(with_global_rank(narrow)).select(
+    ranked = with_rank_against(narrow, *population) if population else with_global_rank(narrow)
+    return with_performance_trend(ranked).select(
         "userId",
         tenths(F.col("avg_wpm")).alias("avg_wpm"),
         tenths(F.col("avg_accuracy")).alias("avg_accuracy"),

@@ -10,7 +10,6 @@ from ..operators.events import (
     events_of,
     keystroke_events,
     parse_events,
-    unreadable_events,
     with_event_time,
 )
 from ..operators.ranking import result_records
@@ -18,13 +17,8 @@ from ..operators.serving import latest_per_key
 from ..operators.sessions import session_changes
 from ..operators.stats import user_stats, with_performance_level
 from ..schema import SESSION_START, event_schema
-from ..streaming.sinks import (
-    every,
-    log_writer,
-    preview_writer,
-    start_batches,
-    store_writer,
-)
+from ..streaming import service
+from ..streaming.sinks import every, log_writer, preview_writer, start_batches
 
 
 def stats_of(records: DataFrame) -> DataFrame:
@@ -57,28 +51,12 @@ def start_service(
 ) -> list[StreamingQuery]:
     """The service over a stream of records: results, and what could not be read.
 
-    One query reads the records once and keeps one state; each micro-batch hands
-    the users that changed to the store (``stats``, ``results``, ``result_json``,
-    ``stored`` and ``leaderboard`` below ``folder``, by versions) and to a preview.
-    A second one parses only and logs unreadable records under ``unreadable``.
-    ``folder`` must be durable; it takes the checkpoints as well.
+    One query reads and parses the records once, keeps changed users in a keyed store,
+    logs unreadable records under ``unreadable`` and prints a preview. ``folder`` must be
+    durable; it takes the checkpoint as well. ``streaming.service`` has the readers.
     """
-    return [
-        start_batches(
-            stats_of(records),
-            [store_writer(folder), preview_writer()],
-            f"{folder}/checkpoints/results",
-            trigger or every(15),
-            mode="update",
-        ),
-        start_batches(
-            unreadable_events(decode_values(records)),
-            [log_writer(f"{folder}/unreadable")],
-            f"{folder}/checkpoints/unreadable",
-            trigger or every(15),
-            mode="append",
-        ),
-    ]
+    preview = preview_writer(shape=lambda batch: batch.filter("reason IS NULL").drop("reason", "json"))
+    return [service.start_service(records, folder, trigger, preview)]
 
 
 def start_stats_log(

@@ -304,3 +304,19 @@ ORACLE: dict[str, str] = {
         "(SELECT count(*) FROM stored) AS spark_analytics_count",
     ),
 }
+
+ORACLE |= {
+    "service_stats": ORACLE["user_stats"],
+    "service_population": ORACLE["population_stats"],
+    "service_results": RESULT_ROWS,
+    "service_leaderboard": BOARD_ROWS,
+    "service_lookup": ORACLE["lookup_with_default"],
+    "service_unreadable": ORACLE["malformed_events"],
+    "stream_event_counter": COUNTED_ROWS,
+    "stream_sessions_in_order": SESSION_ROWS,
+    "user_positions": _with(
+        RESULTS,
+        "SELECT row_number() OVER (ORDER BY avg_wpm DESC, \"userId\") AS position, "
+        '"userId" AS username, avg_wpm, avg_accuracy FROM stored WHERE avg_wpm > 0',
+    ),
+}

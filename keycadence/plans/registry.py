@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from ..functions.times import epoch_millis, from_epoch_millis, iso_utc
 from ..operators import events as ev
 from ..operators import ranking, serving, sessions, texts
+from ..operators.board import rankable
+from ..operators.ranks import positions
 from ..operators.stats import user_stats, with_performance_level
 from ..session import use_utc
-from ..sources.replay import replay_parquet
-from ..sources.storage import read_log, run_folder, write_snapshot
-from ..streaming import sinks
+from ..sources.replay import replay_parquet, write_in_parts
+from ..sources.storage import read_log, read_version, run_folder, write_version
+from ..streaming import counter, service, sinks
 from ..streaming.health import health
 from ..streaming.sessions import stream_sessions
+from ..streaming.sessions import stream_sessions_in_order as in_order
 from .analytics import (
     current_stats,
     results_of,
@@ -164,13 +167,17 @@ def test_outcomes(spark, sf_dir):
     return ev.test_outcomes(ev.events_of(_decoded(spark, sf_dir), kinds, fields))
 
 
-def malformed_events(spark, sf_dir):
-    """Unreadable records by reason; users ending in 3 and 7 send broken ones."""
+def _broken(records: DataFrame) -> DataFrame:
+    """Records in which users ending in 3 and 7 send broken ones."""
     last = F.substring("key", -1, 1)
     text = F.col("value").cast("string")
     broken = F.when(last == "3", F.concat(F.lit("x"), text)).when(last == "7", "").otherwise(text)
-    records = _records(spark, sf_dir).select("key", broken.cast("binary").alias("value"))
-    bad = ev.unreadable_events(ev.decode_values(records))
+    return records.select("key", broken.cast("binary").alias("value"))
+
+
+def malformed_events(spark, sf_dir):
+    """Unreadable records by reason."""
+    bad = ev.unreadable_events(ev.decode_values(_broken(_records(spark, sf_dir))))
     return bad.groupBy("reason").agg(F.count("*").alias("records"))
 
 
@@ -242,10 +249,10 @@ def leaderboard_position(spark, sf_dir):
 
 
 def leaderboard_snapshot(spark, sf_dir):
-    """The leaderboard written as a snapshot and read back."""
+    """The leaderboard written as a version of a stored list and read back."""
     folder = run_folder(spark, "leaderboard")
-    write_snapshot(_board(spark, sf_dir), folder)
-    return spark.read.parquet(folder)
+    write_version(_board(spark, sf_dir), folder, 1)
+    return read_version(spark, folder)
 
 
 def lookup_with_default(spark, sf_dir):
@@ -310,11 +317,23 @@ def event_counter_sliced(spark, sf_dir):
 # Streams: the stored table is replayed to its end, the stored outcome is returned
 
 
+#: Micro-batches of a replay.
+PARTS = 6
+_parts: dict[tuple[str, str, str], str] = {}
+
+
+def _in_parts(spark, sf_dir, order="ts", events=None):
+    """The stored events as files in ascending order; written once for a session."""
+    known = (spark.sparkContext.applicationId, sf_dir, order)
+    if known not in _parts:
+        rows = _table(spark, sf_dir, "events") if events is None else events
+        _parts[known] = write_in_parts(rows, order, PARTS, run_folder(spark, "replay"))
+    return _parts[known]
+
+
 def _replay(spark, sf_dir):
-    events = replay_parquet(
-        use_utc(spark), f"{sf_dir}/events.parquet", files_per_trigger=1
-    )
-    return typing_records(events)
+    folder = _in_parts(spark, sf_dir)
+    return typing_records(replay_parquet(use_utc(spark), folder, files_per_trigger=1))
 
 
 def _complete_run(spark, sf_dir, label, shape=None):
@@ -390,6 +409,86 @@ def stream_health(spark, sf_dir):
     return health(tracked, serving.stored_results(results), session_query, result_query)
 
 
+# The service: micro-batches kept in a store, read afterwards
+
+
+def _service_run(spark, sf_dir, records=None):
+    folder = run_folder(spark, "service")
+    records = _replay(spark, sf_dir) if records is None else records
+    service.start_service(records, folder, sinks.ALL_AVAILABLE, bucket_rows=100).awaitTermination()
+    return folder
+
+
+def service_stats(spark, sf_dir):
+    """Statistics out of moments that were merged over several batches."""
+    stats = service.read_stats(spark, _service_run(spark, sf_dir))
+    return _rounded(stats, "avg_wpm", "avg_accuracy", "wpm_variance")
+
+
+def service_population(spark, sf_dir):
+    """Population moments after changes were put in and taken out."""
+    found = service.read_population(spark, _service_run(spark, sf_dir))
+    row = [(found.users, float(found.mean), float(found.spread))]
+    names = "users long, population_mean double, population_stddev double"
+    return _rounded(spark.createDataFrame(row, names), "population_mean", "population_stddev")
+
+
+def service_results(spark, sf_dir):
+    return service.read_results(spark, _service_run(spark, sf_dir), _stamp())
+
+
+def service_leaderboard(spark, sf_dir):
+    return service.read_leaderboard(spark, _service_run(spark, sf_dir))
+
+
+def service_lookup(spark, sf_dir):
+    folder = _service_run(spark, sf_dir)
+    return service.lookup_stored(spark, folder, _requested(spark, sf_dir), _stamp())
+
+
+def service_unreadable(spark, sf_dir):
+    """Unreadable records by reason, logged by the query that keeps the results."""
+    folder = _service_run(spark, sf_dir, _broken(_replay(spark, sf_dir)))
+    log = read_log(spark, f"{folder}/unreadable")
+    return log.groupBy("reason").agg(F.count("*").alias("records"))
+
+
+def stream_event_counter(spark, sf_dir):
+    """Every event of a stream numbered, carried on from batch to batch."""
+    folder = run_folder(spark, "counter")
+    marks = session_marks(_replay(spark, sf_dir))
+    counter.start_event_counter(marks, folder, sinks.ALL_AVAILABLE).awaitTermination()
+    return _counted(counter.read_counted(spark, folder))
+
+
+#: How far events are moved from their place in the shuffled replay.
+DISORDER_HOURS = 48
+
+
+def stream_sessions_in_order(spark, sf_dir):
+    """Sessions by event time from batches that overlap by ``DISORDER_HOURS``."""
+    moved = F.pmod(F.xxhash64("event_id"), F.lit(DISORDER_HOURS * 3600))
+    events = _table(spark, sf_dir, "events").withColumn("arrival", F.unix_seconds(F.col("ts").cast("timestamp")) + moved)
+    folder = _in_parts(spark, sf_dir, "arrival", events)
+    records = typing_records(replay_parquet(spark, folder, files_per_trigger=1).drop("arrival"))
+    out = run_folder(spark, "sessions")
+    sinks.start_batches(
+        in_order(session_marks(records), f"{DISORDER_HOURS} hours"),
+        [sinks.log_writer(f"{out}/sessions")],
+        f"{out}/checkpoint",
+        sinks.ALL_AVAILABLE,
+        mode="update",
+    ).awaitTermination()
+    log = read_log(spark, f"{out}/sessions")
+    return _shown_sessions(serving.latest_per_key(log, "userId", ["batch_id"]))
+
+
+def user_positions(spark, sf_dir):
+    """The place of every user, not only of the first ten."""
+    board = rankable(_stored(spark, sf_dir))
+    return positions(board, [F.desc("avg_wpm"), "username"], slice_rows=100)
+
+
 QUERIES: dict[str, Query] = {
     "parse_events": parse_events,
     "keystrokes": keystrokes,
@@ -429,4 +528,13 @@ QUERIES: dict[str, Query] = {
     "stream_sessions": stream_session_tracker,
     "stream_session_log": stream_session_log,
     "stream_health": stream_health,
+    "service_stats": service_stats,
+    "service_population": service_population,
+    "service_results": service_results,
+    "service_leaderboard": service_leaderboard,
+    "service_lookup": service_lookup,
+    "service_unreadable": service_unreadable,
+    "stream_event_counter": stream_event_counter,
+    "stream_sessions_in_order": stream_sessions_in_order,
+    "user_positions": user_positions,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -36,6 +37,26 @@ def replay_parquet(
     return reader.parquet(_as_glob(path))
 
 
+def write_in_parts(rows: DataFrame, order: str, parts: int, folder: str) -> str:
+    """Stored rows as files in ascending ``order``, for a replay in several batches.
+
+    Borders are quantiles; each range is written after the one before it, which is the
+    order in which a stream takes files up. Rows without a value come first.
+    """
+    shares = [k / parts for k in range(1, parts)]
+    borders = rows.agg(F.percentile_approx(order, shares)).first()[0] or []
+    value, low = F.col(order), None
+    for high in [*sorted(set(borders)), None]:
+        part = rows
+        if low is not None:
+            part = part.filter(value > low)
+        if high is not None:
+            part = part.filter((value <= high) if low is not None else value.isNull() | (value <= high))
+        part.coalesce(1).write.mode("append").parquet(folder)
+        low = high
+    return folder
+
+
 def _paced(reader, files_per_trigger: int | None):
     if files_per_trigger is None:
         return reader

@@ -6,10 +6,11 @@ import re
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import Files
+
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -61,27 +62,29 @@ def read_last_batch(spark: SparkSession, folder: str) -> DataFrame:
     return log.filter(F.col("batch_id") == newest)
 
 
-def write_version(rows: DataFrame, folder: str, version: int) -> None:
-    """Write one version of a stored list beside the earlier ones.
+def write_version(rows: DataFrame, folder: str, version: int, keep: int = 3) -> None:
+    """Write one version of a stored list beside the earlier ones; the last ``keep`` stay.
 
     The version is named in ``complete`` only after all of its files are there,
     so that a reader never meets a missing or half-written list.
     """
     rows.write.mode("overwrite").parquet(f"{folder}/version={version}")
-    marker = rows.sparkSession.range(version, version + 1).select(F.col("id").alias("version"))
-    marker.coalesce(1).write.mode("append").parquet(f"{folder}/complete")
+    files = Files(rows.sparkSession, folder)
+    files.write(f"complete/{version}", "")
+    older = sorted(v for v in _complete(files) if v <= version)[:-keep]
+    for old in older:
+        files.delete(f"complete/{old}")
+        files.delete(f"version={old}")
+
+
+def _complete(files: Files) -> list[int]:
+    return [int(name) for name in files.names("complete") if name.isdigit()]
 
 
 def newest_version(spark: SparkSession, folder: str, below: int | None = None) -> int | None:
     """The newest complete version, older than ``below`` if given; None if there is none."""
-    marks = spark.read.option("recursiveFileLookup", "true").schema("version long")
-    try:
-        known = marks.parquet(f"{folder}/complete")
-    except AnalysisException:
-        return None
-    if below is not None:
-        known = known.filter(F.col("version") < below)
-    return known.agg(F.max("version")).first()[0]
+    known = [v for v in _complete(Files(spark, folder)) if below is None or v < below]
+    return max(known, default=None)
 
 
 def read_version(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..schema import SESSION_START, TEST_COMPLETE
@@ -91,3 +93,91 @@ def stream_sessions(events: DataFrame, timeout_seconds: int | None = None) -> Da
         _time("end_us").alias("end_time"),
         "events_count",
     )
+
+
+# Event order across micro-batches
+
+_KINDS = [SESSION_START, TEST_COMPLETE, ""]
+_ORDERED_STATE = (
+    "start_us long, end_us long, events_count long, open boolean, "
+    "waiting_us array<long>, waiting_id array<string>, waiting_kind array<int>"
+)
+
+
+def stream_sessions_in_order(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Sessions by event time, also where events arrive out of order; update mode.
+
+    A user's events wait until the watermark, ``delay`` behind the newest event of the
+    stream, has passed them; then they are taken into the session in order. A row shows
+    the session with the waiting events on top, so it is up to date at once and, as long
+    as no event is later than ``delay``, what the batch tracker gives for all events so
+    far. Later ones change nothing and are counted by ``late_events``.
+
+    State holds one session per user and the events of the last ``delay``. A timer at
+    the oldest waiting event takes them in even if the user sends no more. Events
+    without a time cannot be placed and take no part.
+    """
+
+    def step(
+        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
+    ) -> Iterator[pd.DataFrame]:
+        session, parts = None, []
+        if state.exists:
+            *known, opened, us, ids, kinds = state.get
+            session = tuple(known) if opened else None
+            parts.append(
+                pd.DataFrame({
+                    "at_us": np.array(us, "int64"),
+                    "event_id": np.array(ids, object),
+                    "eventType": np.array([_KINDS[k] for k in kinds], object),
+                })
+            )
+        fresh = not state.hasTimedOut
+        if fresh:
+            parts += [part[["at_us", "event_id", "eventType"]] for part in batches]
+        waiting = pd.concat(parts, ignore_index=True)
+        waiting = waiting.sort_values(["at_us", "event_id"], na_position="first", ignore_index=True)
+        past = waiting["at_us"] < state.getCurrentWatermarkMs() * 1000
+        settled, waiting = waiting[past], waiting[~past]
+        if len(settled):
+            session = _advance(session, settled)
+        kinds = [_KINDS.index(k) if k in _KINDS else 2 for k in waiting["eventType"]]
+        state.update((
+            *(session or (_NO_TIME, _NO_TIME, 0)), session is not None,
+            [int(t) for t in waiting["at_us"]], list(waiting["event_id"]), kinds,
+        ))
+        if len(waiting):
+            due = int(waiting["at_us"].iloc[0]) // 1000 + 1
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        if fresh:
+            shown = _advance(session, waiting) if len(waiting) else session
+            if shown is not None:
+                start_us, end_us, count = shown
+                yield pd.DataFrame({
+                    "userId": [key[0]], "start_us": [start_us], "end_us": [end_us],
+                    "events_count": [count],
+                })
+
+    marks = (
+        events.filter(F.col("userId").isNotNull() & F.col("event_ts").isNotNull())
+        .withWatermark("event_ts", delay)
+        .select("userId", "eventType", "event_id", "event_ts", F.unix_micros("event_ts").alias("at_us"))
+    )
+    tracked = marks.groupBy("userId").applyInPandasWithState(
+        step, _OUTPUT, _ORDERED_STATE, "update", GroupStateTimeout.EventTimeTimeout
+    )
+    return tracked.select(
+        "userId",
+        _time("start_us").alias("start_time"),
+        _time("end_us").alias("end_time"),
+        "events_count",
+    )
+
+
+def late_events(query: StreamingQuery) -> int:
+    """Events a query has left out since its start because they came too late."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

@@ -1,5 +1,6 @@
 """Streams replayed in several micro-batches give what batch gives."""
 
+import json
 import os
 import time
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from keycadence.operators import ranking, serving
 from keycadence.operators.sessions import (
+    event_counter,
     session_changes,
     session_tracker,
     sessions_from_log,
@@ -16,16 +18,14 @@ from keycadence.plans import analytics
 from keycadence.plans.sample import typing_events, typing_records
 from keycadence.schema import EVENT_SCHEMA
 from keycadence.sources.replay import read_lines, replay_lines, replay_parquet
-from keycadence.sources.storage import (
-    newest_version,
-    read_last_batch,
-    read_log,
-    read_version,
-    write_batch,
-)
-from keycadence.streaming import sinks
+from keycadence.sources.storage import read_last_batch, read_log, write_batch
+from keycadence.streaming import counter, progress, service, sinks
 from keycadence.streaming.health import query_health
-from keycadence.streaming.sessions import stream_sessions
+from keycadence.streaming.sessions import (
+    late_events,
+    stream_sessions,
+    stream_sessions_in_order,
+)
 
 from .conftest import SF_DIR
 
@@ -187,20 +187,153 @@ def test_session_log(spark, events, log, tmp_path, floor):
 
 
 def test_service_store(spark, events, log, tmp_path, capsys):
+    """Six batches kept as changes give what one aggregate over all events gives."""
     queries = analytics.start_service(_replay(spark, events, log), str(tmp_path), sinks.ALL_AVAILABLE)
     for query in queries:
         query.awaitTermination()
     assert {query_health(query)["state"] for query in queries} == {"ended"}
-    assert newest_version(spark, f"{tmp_path}/stored") == FILES - 1
-    assert newest_version(spark, f"{tmp_path}/stored", below=2) == 1
-    whole = analytics.stats_of(typing_records(events))
-    _same(_rounded(read_version(spark, f"{tmp_path}/stats")), _rounded(whole))
-    stored = serving.stored_results(ranking.result_records(whole)).drop("last_update")
-    _same(read_version(spark, f"{tmp_path}/stored").drop("last_update"), stored)
-    board = serving.leaderboard(stored)
-    _same(read_version(spark, f"{tmp_path}/leaderboard"), board)
-    assert read_version(spark, f"{tmp_path}/result_json").count() == whole.count()
+    folder, store = str(tmp_path), service.user_store(spark, str(tmp_path))
+    assert store.versions()[-1] == FILES - 1
+    whole = analytics.stats_of(typing_records(events)).drop("performance_level")
+    _same(_rounded(service.read_stats(spark, folder)), _rounded(whole))
+    at = F.to_timestamp(F.lit("2024-06-01 00:00:00"))
+    results = ranking.result_records(whole, at)
+    _same(service.read_results(spark, folder, at), results)
+    stored = serving.stored_results(results, at)
+    _same(service.read_leaderboard(spark, folder), serving.leaderboard(stored))
+    users = stored.select("userId").limit(40).unionByName(
+        spark.createDataFrame([("nobody",)], "userId string"))
+    users = spark.createDataFrame(users.collect(), users.schema)
+    _same(service.lookup_stored(spark, folder, users, at), serving.lookup_with_default(users, stored))
+    _same(service.lookup_stored(spark, folder, users, at, with_default=False),
+          serving.lookup_present(users, stored))
+    assert service.read_result_json(spark, folder).count() == whole.count()
+    population = service.read_population(spark, folder)
+    wanted = ranking.population_stats(whole).first()
+    assert population.users == wanted.users
+    assert population.mean == pytest.approx(wanted.population_mean, abs=1e-9)
+    assert population.spread == pytest.approx(wanted.population_stddev, abs=1e-9)
     assert "batch 0" in capsys.readouterr().out
+    # one query, one read of the source, no state of Spark's own
+    assert len(queries) == 1 and len(queries[0].lastProgress["sources"]) == 1
+    assert not queries[0].lastProgress["stateOperators"]
+
+
+def test_service_after_a_failure(spark, events, log, tmp_path):
+    """A batch that was stored before it failed runs again and counts once."""
+    fail = [True]
+
+    def once_broken(batch, batch_id):
+        if batch_id == 3 and fail:
+            fail.clear()
+            raise RuntimeError("writer down")
+
+    def run():
+        return service.start_service(
+            _replay(spark, events, log), str(tmp_path), sinks.ALL_AVAILABLE, once_broken, bucket_rows=50)
+
+    with pytest.raises(Exception, match="writer down"):
+        run().awaitTermination()
+    assert service.user_store(spark, str(tmp_path)).versions()[-1] == 3
+    run().awaitTermination()
+    whole = analytics.stats_of(typing_records(events)).drop("performance_level")
+    _same(_rounded(service.read_stats(spark, str(tmp_path))), _rounded(whole))
+
+
+def test_batches_without_keystrokes(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"eventType": "TEST_START", "userId": "a"}\n')
+    service.start_service(
+        replay_lines(spark, f"{tmp_path}/in", 1), f"{tmp_path}/out", sinks.ALL_AVAILABLE
+    ).awaitTermination()
+    assert service.read_population(spark, f"{tmp_path}/out").users == 0
+    assert service.read_leaderboard(spark, f"{tmp_path}/out").count() == 0
+    with pytest.raises(LookupError):
+        service.read_stats(spark, f"{tmp_path}/out")
+
+
+@pytest.mark.parametrize("floor", [10_000_000, 4])
+def test_event_counter_over_batches(spark, events, log, tmp_path, floor):
+    """Stopped after two files and started again; also with users in slices."""
+    grown = tmp_path / "grown"
+    grown.mkdir()
+    names = sorted(n for n in os.listdir(log) if n.endswith(".parquet"))
+    for part in (names[:2], names[2:]):
+        for name in part:
+            os.link(log / name, grown / name)
+        counter.start_event_counter(
+            analytics.session_marks(_replay(spark, events, grown)), f"{tmp_path}/out",
+            sinks.ALL_AVAILABLE, floor=floor,
+        ).awaitTermination()
+    found = counter.read_counted(spark, f"{tmp_path}/out")
+    _same(found, event_counter(analytics.session_marks(typing_records(events))))
+
+
+def _line(kind, user, minute, n):
+    at = f"2024-01-01T{10 + minute // 60}:{minute % 60:02d}:00.000Z"
+    return json.dumps({"eventType": kind, "userId": user, "timestamp": at, "event_id": f"e{n}"})
+
+
+def test_sessions_in_order(spark, tmp_path):
+    """Shuffled within the delay, and one event that is later than that."""
+    files = [
+        [("SESSION_START", "a", 10, 1), ("KEYSTROKE", "a", 30, 2), ("KEYSTROKE", "b", 5, 3)],
+        [("TEST_COMPLETE", "a", 20, 4), ("SESSION_START", "a", 12, 5), ("SESSION_START", "b", 4, 6)],
+        [("KEYSTROKE", "c", 200, 7)],
+        [("KEYSTROKE", "a", 11, 8), ("KEYSTROKE", "a", 210, 9), ("SESSION_START", "c", 190, 10)],
+        [("KEYSTROKE", "a", 215, 11), ("TEST_COMPLETE", "c", 201, 12), ("KEYSTROKE", "a", 25, 13)],
+    ]
+    (tmp_path / "in").mkdir()
+    for number, lines in enumerate(files):
+        path = tmp_path / "in" / f"{number}.json"
+        path.write_text("\n".join(_line(*line) for line in lines) + "\n")
+        os.utime(path, (time.time() - 600 + number * 10,) * 2)
+    marks = analytics.session_marks(replay_lines(spark, f"{tmp_path}/in", 1))
+    query = sinks.start_batches(
+        stream_sessions_in_order(marks, "30 minutes"), [sinks.log_writer(f"{tmp_path}/log")],
+        f"{tmp_path}/checkpoint", sinks.ALL_AVAILABLE, mode="update")
+    query.awaitTermination()
+    newest = serving.latest_per_key(read_log(spark, f"{tmp_path}/log"), "userId", ["batch_id"])
+    found = {
+        r.userId: (r.start_time.strftime("%H:%M"), r.end_time and r.end_time.strftime("%H:%M"), r.events_count)
+        for r in newest.collect()
+    }
+    assert found == {
+        "a": ("10:12", "10:20", 5), "b": ("10:04", None, 2), "c": ("13:10", "13:21", 3)}
+    assert late_events(query) == 1
+
+
+def test_progress_outlives_its_query(spark, events, log, tmp_path):
+    spark.streams.resetTerminated()
+    listener = progress.log_progress(spark, str(tmp_path), lines=2)
+    try:
+        service.start_service(_replay(spark, events, log), f"{tmp_path}/out", sinks.ALL_AVAILABLE).awaitTermination()
+
+        def broken(batch, batch_id):
+            raise RuntimeError("writer down")
+
+        with pytest.raises(Exception, match="writer down"):
+            sinks.start_batches(
+                analytics.session_marks(_replay(spark, events, log)), [broken],
+                f"{tmp_path}/checkpoint", sinks.ALL_AVAILABLE, mode="append").awaitTermination()
+        for _ in range(100):
+            reports = progress.read_progress(spark, str(tmp_path))
+            if reports.filter("kind = 'end'").count() == 2:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+        spark.streams.resetTerminated()
+    runs = {r.state: r for r in progress.runs(reports).collect()}
+    assert set(runs) == {"ended", "failed"} and "writer down" in runs["failed"].error
+    assert runs["ended"].input_rows == events.count() and runs["ended"].last_batch == FILES - 1
+    health = progress.logged_health(reports).first()
+    assert (health.status, health.queries, health.open, health.failed) == ("failing", 2, 0, 1)
+    # a start without an end is lost, or was started again
+    starts = reports.filter("kind = 'start'")
+    assert {r.state for r in progress.runs(starts).collect()} == {"open"}
+    twice = starts.unionByName(starts.withColumns({"run": F.lit("x"), "at": F.lit("9")}))
+    assert sorted(r.state for r in progress.runs(twice).collect()) == ["open", "open", "restarted", "restarted"]
 
 
 def test_service_logs_unreadable_records(spark, tmp_path):
