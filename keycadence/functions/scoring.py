@@ -1,7 +1,7 @@
 """Typing scores as column expressions over the typed text and the passage.
 
-Positions are code points. For passages outside the Basic Multilingual Plane a
-client that counts UTF-16 units reports other numbers.
+Positions are code points or, as in a browser, UTF-16 units: there a character outside
+the Basic Multilingual Plane counts as two, which may be right and wrong one by one.
 """
 
 from __future__ import annotations
@@ -19,6 +19,76 @@ PENDING = "pending"
 CHARS_PER_WORD = 5
 
 
+def code_points(text: Column) -> Column:
+    """The characters of a text as an array; the empty array for the empty text."""
+    return F.when(F.length(text) > 0, F.split(text, "")).otherwise(F.array().cast("array<string>"))
+
+
+def utf16_units(text: Column) -> Column:
+    """The UTF-16 units of a text as an array of four hexadecimal digits each."""
+    digits = F.hex(F.encode(text, "UTF-16BE"))
+    return F.regexp_extract_all(digits, F.lit("(.{4})"), 1)
+
+
+def utf16_length(text: Column) -> Column:
+    """Number of UTF-16 units, two for a character of four bytes in UTF-8."""
+    return (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("int")
+
+
+def correct_units(typed: Column, passage: Column) -> Column:
+    """``correct_chars`` by UTF-16 units."""
+    places = F.zip_with(utf16_units(typed), utf16_units(passage), lambda t, p: t.eqNullSafe(p))
+    return F.size(F.filter(places, lambda same: same))
+
+
+def status_runs(typed: Column, passage: Column) -> Column:
+    """Stretches of equal status over the passage, from two arrays of characters.
+
+    An array of ``start, length, status``. A stretch begins where a place differs from
+    the one before it, so the work is linear and nothing is kept per character.
+    """
+    shared = F.least(F.size(typed), F.size(passage))
+    same = F.zip_with(
+        F.slice(typed, F.lit(1), shared), F.slice(passage, F.lit(1), shared), lambda t, p: t == p
+    )
+
+    def stretches(same: Column) -> Column:
+        marked = F.transform(
+            same,
+            lambda x, i: F.struct(
+                i.alias("start"), x.alias("right"),
+                ((i == 0) | (x != F.get(same, i - 1))).alias("first"),
+            ),
+        )
+        return F.filter(marked, lambda place: place["first"])
+
+    def spans(starts: Column) -> Column:
+        ends = F.concat(
+            F.transform(F.slice(starts, 2, F.size(starts)), lambda place: place["start"]),
+            F.array(shared),
+        )
+        typed_spans = F.zip_with(
+            starts,
+            ends,
+            lambda place, end: F.struct(
+                place["start"].alias("start"),
+                (end - place["start"]).alias("length"),
+                F.when(place["right"], CORRECT).otherwise(INCORRECT).alias("status"),
+            ),
+        )
+        rest = F.struct(
+            shared.alias("start"),
+            (F.size(passage) - shared).alias("length"),
+            F.lit(PENDING).alias("status"),
+        )
+        found = F.concat(F.filter(typed_spans, lambda s: s["length"] > 0), F.array(rest))
+        return F.filter(found, lambda s: s["length"] > 0)
+
+    # each step is bound once, however often it is used
+    starts = F.transform(F.array(same), stretches)
+    return F.transform(starts, spans)[0]
+
+
 def correct_chars(typed: Column, passage: Column) -> Column:
     """How many typed characters equal the passage character at their place.
 

@@ -12,24 +12,31 @@ from ..functions.scoring import (
     INCORRECT,
     PENDING,
     accuracy,
+    code_points,
     correct_chars,
+    correct_units,
     is_complete,
     is_timed_out,
+    status_runs,
+    utf16_length,
+    utf16_units,
     words_per_minute,
 )
 from ..functions.times import remaining_seconds
 
 
-def score_text(attempts: DataFrame, keep: Sequence[str]) -> DataFrame:
+def score_text(attempts: DataFrame, keep: Sequence[str], utf16: bool = False) -> DataFrame:
     """Correct and total characters, accuracy and speed of every attempt.
 
-    Expects ``typed``, ``quote`` and ``elapsed`` (whole seconds).
+    Expects ``typed``, ``quote`` and ``elapsed`` (whole seconds). Characters are code
+    points, or UTF-16 units as a browser counts them.
     """
+    typed, quote = F.col("typed"), F.col("quote")
     counted = attempts.select(
         *keep,
         "elapsed",
-        correct_chars(F.col("typed"), F.col("quote")).alias("correct"),
-        F.length("typed").alias("total"),
+        (correct_units if utf16 else correct_chars)(typed, quote).alias("correct"),
+        (utf16_length if utf16 else F.length)(typed).alias("total"),
     )
     return counted.select(
         *keep,
@@ -62,6 +69,22 @@ def char_status(attempts: DataFrame, keep: Sequence[str]) -> DataFrame:
     return placed.select(*keep, "pos", "expected", status.alias("status"))
 
 
+def char_status_runs(
+    attempts: DataFrame, keep: Sequence[str], utf16: bool = False
+) -> DataFrame:
+    """``char_status`` by stretches: ``start``, ``length`` and ``status`` of each.
+
+    As many rows as the status changes along the passage, not one per character.
+    """
+    split = utf16_units if utf16 else code_points
+    texts = attempts.filter(F.col("quote").isNotNull()).select(
+        *keep,
+        split(F.coalesce("typed", F.lit(""))).alias("typed"),
+        split(F.col("quote")).alias("quote"),
+    )
+    return texts.select(*keep, F.inline(status_runs(F.col("typed"), F.col("quote"))))
+
+
 def completion(attempts: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Whether each attempt is complete or timed out, and the seconds left."""
     elapsed = F.col("elapsed")

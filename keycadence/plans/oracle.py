@@ -149,7 +149,7 @@ cmp AS (
 
 
 def _with(ctes: str, select: str) -> str:
-    return f"WITH {ctes.strip()}\n{select}"
+    return f"WITH {ctes.strip()}\n{select.strip()}"
 
 
 EVENT_COLUMNS = (
@@ -169,6 +169,13 @@ COUNTED_ROWS = _with(
     'SELECT "userId", event_id, "eventType", row_number() OVER (PARTITION BY "userId", segment '
     'ORDER BY "timestamp", event_id) AS event_no FROM seg',
 )
+_SCORES = (
+    "SELECT doc_id, correct, total, "
+    "CASE WHEN total > 0 THEN CAST(floor(correct / total * 100 + 0.5) AS INT) "
+    "ELSE 100 END AS accuracy, "
+    "CASE WHEN elapsed > 0 THEN CAST(floor((total / 5) / (elapsed / 60) + 0.5) AS INT) "
+    "ELSE 0 END AS wpm FROM cmp"
+)
 _DEFAULTS = {
     "avg_wpm": "0",
     "avg_accuracy": "0",
@@ -265,14 +272,7 @@ ORACLE: dict[str, str] = {
         "SELECT (SELECT count(*) FROM sess) AS active_sessions, "
         "(SELECT count(*) FROM stored) AS spark_analytics_count",
     ),
-    "score_text": _with(
-        ATTEMPTS,
-        "SELECT doc_id, correct, total, "
-        "CASE WHEN total > 0 THEN CAST(floor(correct / total * 100 + 0.5) AS INT) "
-        "ELSE 100 END AS accuracy, "
-        "CASE WHEN elapsed > 0 THEN CAST(floor((total / 5) / (elapsed / 60) + 0.5) AS INT) "
-        "ELSE 0 END AS wpm FROM cmp",
-    ),
+    "score_text": _with(ATTEMPTS, _SCORES),
     "char_status": _with(
         ATTEMPTS,
         "SELECT doc_id, status, chars FROM ("
@@ -305,7 +305,46 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+#: UTF-16 units of a text as numbers.
+_UNITS = """flatten(list_transform(string_split({}, ''), lambda c: CASE WHEN unicode(c) > 65535
+      THEN [55296 + ((unicode(c) - 65536) // 1024), 56320 + (unicode(c) - 65536) % 1024]
+      ELSE [unicode(c)] END))"""
+
 ORACLE |= {
+    "score_text_utf16": _with(
+        ATTEMPTS.split("ch AS (")[0].rstrip().rstrip(",")
+        + f""",
+emoji AS (
+  SELECT doc_id, elapsed, replace(quote, 'a', '😀') AS quote,
+    replace(replace(typed, 'a', CASE WHEN doc_id % 2 = 0 THEN '😀' ELSE '😁' END), 'o', '🎹') AS typed
+  FROM attempts
+),
+units AS (
+  SELECT doc_id, elapsed,
+    CASE WHEN typed = '' THEN [] ELSE {_UNITS.format("typed")} END AS t,
+    {_UNITS.format("quote")} AS q
+  FROM emoji
+),
+cmp AS (
+  SELECT doc_id, elapsed, CAST(len(t) AS INT) AS total, CAST(len(list_filter(
+    list_zip(t, q), lambda p: coalesce(p[1] = p[2], false))) AS INT) AS correct FROM units
+)""",
+        _SCORES,
+    ),
+    "char_status_runs": _with(
+        ATTEMPTS,
+        """, places AS (
+  SELECT doc_id, unnest(range(0, len(q))) AS i, t, q FROM ch
+), told AS (
+  SELECT doc_id, i, CASE WHEN typed_n <= i THEN 'pending' WHEN t[i + 1] = q[i + 1] THEN 'correct'
+    ELSE 'incorrect' END AS status
+  FROM (SELECT *, CASE WHEN t = [''] THEN 0 ELSE len(t) END AS typed_n FROM places)
+), marked AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, status ORDER BY i) AS island FROM told
+)
+SELECT doc_id, CAST(min(i) AS INT) AS start, CAST(count(*) AS INT) AS length, status
+FROM marked GROUP BY doc_id, status, island""",
+    ),
     "service_stats": ORACLE["user_stats"],
     "service_population": ORACLE["population_stats"],
     "service_results": RESULT_ROWS,

@@ -284,6 +284,28 @@ def char_status(spark, sf_dir):
     return status.groupBy("doc_id", "status").agg(F.count("*").alias("chars"))
 
 
+def _emoji_attempts(spark, sf_dir):
+    """Attempts on passages with characters of two UTF-16 units, typed right and wrong."""
+    rows = _attempts(spark, sf_dir)
+    return rows.withColumns({
+        "quote": F.replace("quote", F.lit("a"), F.lit("\U0001f600")),
+        "typed": F.replace(
+            F.replace("typed", F.lit("a"), F.when(F.col("doc_id") % 2 == 0, "\U0001f600").otherwise("\U0001f601")),
+            F.lit("o"), F.lit("\U0001f3b9"),
+        ),
+    })
+
+
+def score_text_utf16(spark, sf_dir):
+    """Scores by UTF-16 units."""
+    return texts.score_text(_emoji_attempts(spark, sf_dir), ["doc_id"], utf16=True)
+
+
+def char_status_runs(spark, sf_dir):
+    """Stretches of equal status in each document."""
+    return texts.char_status_runs(_attempts(spark, sf_dir), ["doc_id"])
+
+
 def completion(spark, sf_dir):
     return texts.completion(_attempts(spark, sf_dir), ["doc_id"])
 
@@ -516,6 +538,8 @@ QUERIES: dict[str, Query] = {
     "health_counts": health_counts,
     "score_text": score_text,
     "char_status": char_status,
+    "score_text_utf16": score_text_utf16,
+    "char_status_runs": char_status_runs,
     "completion": completion,
     "session_tracker": session_tracker,
     "session_tracker_salted": session_tracker_salted,

@@ -1,6 +1,8 @@
 """Column expressions against plain Python."""
 
 import math
+
+import pytest
 import random
 from datetime import datetime, timezone
 
@@ -128,6 +130,51 @@ def test_char_status_is_brute_force(spark):
     assert found == wanted
 
 
+def _units(text):
+    data = text.encode("utf-16-be")
+    return [data[k : k + 2] for k in range(0, len(data), 2)]
+
+
+EMOJI = [
+    ("", "a😀b", 9), ("a😀b", "a😀b", 30), ("a😁b", "a😀b", 30), ("😀😀", "a😀😀", 7),
+    ("x😀", "", 3), ("ab", "😀", 60), ("é𝄞", "é𝄞𝄞", 12), (PASSAGE, PASSAGE, 20),
+]
+
+
+def test_score_text_by_utf16_units(spark):
+    """As a browser counts: the emoji of row 2 share their first unit."""
+    rows = [(i, *row) for i, row in enumerate(EMOJI)]
+    frame = spark.createDataFrame(rows, "id int, typed string, quote string, elapsed int")
+    found = {r.id: (r.correct, r.total) for r in texts.score_text(frame, ["id"], utf16=True).collect()}
+    for i, (typed, quote, _) in enumerate(EMOJI):
+        t, q = _units(typed), _units(quote)
+        assert found[i] == (sum(a == b for a, b in zip(t, q)), len(t))
+    assert found[2] == (3, 4)
+    points = {r.id: (r.correct, r.total) for r in texts.score_text(frame, ["id"]).collect()}
+    assert points[2] == (2, 3) and points[7] == found[7]
+
+
+@pytest.mark.parametrize("utf16", [False, True])
+def test_status_runs_expand_to_char_status(spark, utf16):
+    cases = ATTEMPTS + EMOJI
+    rows = [(i, *row) for i, row in enumerate(cases)] + [(98, None, "ab", 1), (99, "a", None, 1)]
+    frame = spark.createDataFrame(rows, "id int, typed string, quote string, elapsed int")
+    found, last = {}, {}
+    for r in texts.char_status_runs(frame, ["id"], utf16).orderBy("id", "start").collect():
+        assert r.length > 0 and last.get(r.id) != r.status, "neighbours differ"
+        last[r.id] = r.status
+        found |= {(r.id, r.start + k): r.status for k in range(r.length)}
+    split = _units if utf16 else list
+    wanted = {(98, 0): scoring.PENDING, (98, 1): scoring.PENDING}
+    for i, (typed, quote, _) in enumerate(cases):
+        typed = split(typed)
+        for pos, char in enumerate(split(quote)):
+            right = pos < len(typed) and typed[pos] == char
+            wanted[i, pos] = (
+                scoring.PENDING if pos >= len(typed) else scoring.CORRECT if right else scoring.INCORRECT)
+    assert found == wanted
+
+
 def test_completion(spark):
     for r in texts.completion(_attempts(spark), ["id"]).collect():
         typed, quote, elapsed = ATTEMPTS[r.id]
