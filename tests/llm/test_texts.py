@@ -155,6 +155,62 @@ def test_near_passage_whose_keys_belong_to_another(spark):
     assert {(r.doc_id, r.source_id, r.start_word, r.end_word) for r in found} == {(3, 2, 90, 150)}
 
 
+def test_texts_under_one_id(spark):
+    """Spans are about one text of an id and cut there only; equal rows are cut alike."""
+    word = lambda c, n: [f"{c}{i}" for i in range(n)]
+    passage, own = word("p", 60), word("own", 200)
+    rows = [
+        (0, " ".join(passage)), (1, " ".join(word("x", 50) + passage)), (1, " ".join(own)),
+        (2, " ".join(passage + word("y", 30))), (2, " ".join(passage + word("y", 30))),
+        (3, None), (3, " ".join(word("z", 70) + passage)), (None, " ".join(passage)),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, r.start_word, r.end_word) for r in passages.repeated_passages(frame).collect()}
+    assert found == {(2, 0, 60), (3, 70, 130)}
+    kept = sorted((str(r.doc_id), len((r.text or "").split())) for r in passages.passage_filter(frame).collect())
+    assert kept == sorted([
+        ("0", 60), ("1", 110), ("1", 200), ("2", 30), ("2", 30), ("3", 0), ("3", 70), ("None", 60)])
+
+
+def test_recall_of_planted_near_passages(spark):
+    """Copies at similarity 0.8 to 0.97 among frequent phrases, each held by two documents."""
+    rng = np.random.default_rng(21)
+    fresh = lambda n: [f"v{x}" for x in rng.integers(0, 1 << 40, n)]
+    phrases = [fresh(8) for _ in range(5)]
+    prose = lambda n: [w for _ in range(n) for w in [*fresh(12), *phrases[rng.integers(5)]]]
+    rows, planted = [], {}
+    for k in range(120):
+        passage, copy = fresh(int(rng.integers(52, 160))), None
+        while copy is None:
+            copy = list(passage)
+            for at in rng.integers(0, len(copy), rng.integers(1, 1 + len(copy) // 40 + 1)):
+                copy[at] = "edited"
+            one, two = (set(_shingled(x).tolist()) for x in (passage, copy))
+            copy = copy if len(one & two) >= 0.8 * len(one | two) else None
+        head = prose(int(rng.integers(1, 6)))
+        rows.append((2 * k, " ".join(prose(3) + passage + prose(2))))
+        rows.append((2 * k + 1, " ".join(head + copy + prose(2))))
+        planted[2 * k + 1] = (len(head), len(head) + len(copy))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    covered = {}
+    for r in passages.repeated_passages(frame).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    hit = [len(covered.get(i, set()) & set(range(a, b))) >= 0.7 * (b - a) for i, (a, b) in planted.items()]
+    assert np.mean(hit) >= 0.95
+    assert not any(i % 2 == 0 and len(x) > 20 for i, x in covered.items())
+
+
+def test_spans_that_outgrow_the_margin(spark, monkeypatch):
+    monkeypatch.setattr(passages, "MARGIN", 2)
+    rng = np.random.default_rng(5)
+    long = [f"v{x}" for x in rng.integers(0, 1 << 40, 3000)]
+    other = [w if i % 31 else f"{w}e" for i, w in enumerate(long)]
+    rows = [(1, " ".join(long)), (2, " ".join(["a", *other]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {k for r in passages.repeated_passages(frame).collect() for k in range(r.start_word, r.end_word)}
+    assert len(found) > 2950
+
+
 def test_windows_cover_each_run():
     rng = np.random.default_rng(3)
     for _ in range(30):
