@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import materialize
+from .tables import discard, materialize
 from .words import mixed, shingles, slices, word_codes, word_hashes
 
 SYMBOLS = 84
@@ -51,8 +51,8 @@ CHUNK = 6
 MOST_DIFFERENT = 38
 #: The same for the longer signatures of one bit per function, which differ in a
 #: tenth of their bits at similarity 0.8 and in more than this with probability 2e-8.
-BITS = 1024
-MOST_BITS = 155
+BITS = 2048
+MOST_BITS = 280
 
 
 def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +121,7 @@ def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n_shingles, same, signature, keys``; ``same`` is equal for equal sets."""
+    """``doc_id, n_shingles, same, signature``; ``same`` is equal for equal sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -137,17 +137,30 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     pa.array(np.diff(ends), pa.int64()),
                     pa.array(marks, pa.binary()),
                     _lists(symbols.view(np.int16).ravel(), rows),
-                    _lists(_keys(symbols).ravel(), rows),
                 ],
-                ["doc_id", "n_shingles", "same", "signature", "keys"],
+                ["doc_id", "n_shingles", "same", "signature"],
             )
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run,
-        "doc_id long, n_shingles long, same binary, signature array<smallint>, keys array<long>",
+        run, "doc_id long, n_shingles long, same binary, signature array<smallint>"
     )
 
 
+def keys_of(sketched: DataFrame) -> DataFrame:
+    """``doc_id, key``: the keys of each signature, a row for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            symbols = batch.column("signature").flatten().to_numpy(False)
+            keys = _keys(symbols.view(np.uint16).reshape(-1, SYMBOLS))
+            ids = batch.column("doc_id").to_numpy(False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(ids, SYMBOLS)), pa.array(keys.ravel())], ["doc_id", "key"]
+            )
+
+    return sketched.select("doc_id", "signature").mapInArrow(run, "doc_id long, key long")
+
+
 def long_signatures(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, bits``: the longer signatures."""
 
@@ -230,7 +243,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         known.join(classes, ["same", "doc_id"]).dropDuplicates(["same", "doc_id"]),
         "representatives",
     )
-    keys = reps.select("doc_id", F.explode("keys").alias("key"))
+    keys = keys_of(reps)
     hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n"))
     members = materialize(
         keys.join(hubs.filter("n > 1").drop("n"), "key"), "members"
@@ -263,6 +276,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .drop("hub"),
         "labelled",
     )
+    discard(members)
     mixed_keys = labelled.filter("component != hub_component").select("key").distinct()
     open_rows = materialize(
         labelled.join(mixed_keys, "key", "left_semi")
@@ -270,10 +284,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         .drop("hub_component"),
         "open",
     )
-    signed = materialize(
+    discard(labelled)
+    bits = materialize(
         long_signatures(_whole(docs, open_rows.select("doc_id").distinct()), width), "bits"
-    ).join(reps.select("doc_id", "n_shingles"), "doc_id")
-    open_rows = open_rows.join(materialize(signed, "signed"), "doc_id")
+    )
+    signed = materialize(bits.join(reps.select("doc_id", "n_shingles"), "doc_id"), "signed")
+    discard(bits)
+    stored, open_rows = open_rows, open_rows.join(signed, "doc_id")
     rest = _side(open_rows.filter("stray"), "a").join(
         _side(open_rows, "b"),
         (F.col("key_a") == F.col("key_b"))
@@ -283,6 +300,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         & _bits_allow(),
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = materialize(rest.distinct().join(near, ["a", "b"], "left_anti"), "rest")
+    discard(stored, signed)
     more = confirmed(rest, docs, width, percent)
     known_links = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(known_links.unionByName(more).unionByName(twice))
