@@ -28,7 +28,8 @@ contexts with a byte, whatever the corpus; it alone visits the driver and is
 broadcast. Word numbers have 31 bits; more distinct words than that are refused.
 
 Cases: a null text is empty and has its end token. A null doc_id counts as the
-empty text where documents are divided. Without training documents every count is
+empty text where documents are divided. The spelling of a word of hundreds of bytes
+has probability ``LEAST_SPELLED``, so every score is finite. Without training documents every count is
 0 and the model is its uniform spelling base. Repeated rows are scored each.
 """
 
@@ -55,6 +56,8 @@ PAIR_STRENGTH = 1.0
 #: Pairs that one task groups.
 PART_PAIRS = 2_000_000
 SPELL_DISCOUNT, SPELL_STRENGTH = 0.5, 2.0
+#: Below this a spelling's probability would be lost to rounding; very long words have it.
+LEAST_SPELLED = 1e-290
 #: Stands for the end of a text; no word holds white space.
 END = b"\n"
 EDGE = 0x20
@@ -227,7 +230,7 @@ class Words:
     def spelled(self, sweep: Sweep) -> np.ndarray:
         p = np.log10(sweep.spelling.probability(self.distinct))[self.place]
         logs = np.bincount(self.owner, p, len(self.counts))
-        return 10.0**logs
+        return np.maximum(10.0**logs, LEAST_SPELLED)
 
     def seats(self, number: int, before: Sweep | None) -> np.ndarray:
         """Tables of each word in a sweep; one for each word to begin with."""

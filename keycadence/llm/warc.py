@@ -47,8 +47,6 @@ ARCHIVE_BYTES = 1 << 30
 RANGE_BYTES = 8 << 20
 READ_BYTES = 1 << 20
 INFLATE_BYTES = 1 << 14
-#: A record's header is at most so long.
-HEADER_BYTES = 1 << 16
 PAGE = "urn:page:"
 HEADER = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 
@@ -259,7 +257,8 @@ def read_archives(manifest: DataFrame, size: int = RANGE_BYTES) -> DataFrame:
                         yield _batch(rows)
 
     parts = ranges(manifest, size)
-    spread = parts.repartition(F.col("path"), F.col("begin"))
+    # by number, as Spark would put these few short rows into one task
+    spread = parts.repartition(max(parts.count(), 1), "path", "begin")
     return spread.mapInArrow(
         run,
         "page_id long, record_type string, payload_bytes long, payload_digest string, "

@@ -315,7 +315,7 @@ def test_language_model(docs, texts, none):
         base = sum(np.log10((counts.get(w, 0) + 0.1) / (total + 0.1 * (distinct + 1))) for w in own)
         assert r.n_tokens == len(own) and r.n_known == sum(w in counts for w in own)
         assert r.train_tokens == total and r.held_out == (not train[i])
-        assert abs(r.base_score - base) < 1e-6 * abs(base) and r.score < 0
+        assert abs(r.base_score - base) < 1e-6 * abs(base) and -np.inf < r.score < 0
     again = lm.text_scores(docs.coalesce(3)).toPandas().set_index("doc_id").sort_index()
     assert np.allclose(again["score"], rows["score"])
     assert lm.text_scores(none).count() == 0

@@ -93,6 +93,9 @@ def expected(pages):
 def test_ranges_read_every_record_once(pages, tmp_path, size):
     manifest = warc.write_archives(warc.with_revisits(pages), str(tmp_path / "a"))
     rows = warc.read_archives(manifest, size).collect()
+    ranges = warc.ranges(manifest, size).count()
+    tasks = warc.read_archives(manifest, size).select(F.spark_partition_id()).distinct().count()
+    assert tasks > 1 or ranges < 4, "ranges are not read by one task"
     found = sorted(
         ((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows),
         key=str,
