@@ -258,7 +258,9 @@ def read_archives(manifest: DataFrame, size: int = RANGE_BYTES) -> DataFrame:
 
     parts = ranges(manifest, size)
     # by number, as Spark would put these few short rows into one task
-    spread = parts.repartition(max(parts.count(), 1), "path", "begin")
+    whole, number = manifest.agg(F.sum("bytes")).first()[0] or 0, parts.count()
+    usual = min(number, manifest.sparkSession.sparkContext.defaultParallelism)
+    spread = parts.repartition(max(-(-whole // RANGE_BYTES), usual, 1), "path", "begin")
     return spread.mapInArrow(
         run,
         "page_id long, record_type string, payload_bytes long, payload_digest string, "
