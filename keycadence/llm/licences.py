@@ -1,188 +1,228 @@
-"""License texts found by the Dice coefficient over word bigrams.
-
-A document is scanned in units: its lines, its paragraphs of several lines, and
-the whole text. A unit is normalised (lower case, only letters, digits and dots
-inside of words kept) and turned into the set of its word bigrams, as are the
-templates. Dice = 2 * shared / (sizes of both) is at least ``LEAST`` only if the
-smaller set has ``LEAST / (2 - LEAST)`` of the larger one's size; these bounds
-drop units that no template can match before bigrams are made, and templates
-unit by unit.
-
-Only DataFrame functions are used; the templates are literals, so nothing is
-joined, shuffled or broadcast. Work on a unit is bounded by the largest template.
-
-Cases: a null text is empty and matches nothing. Units of fewer than two words
-have no bigrams. If templates tie on a unit the first in their order wins. Every
-row gives one row; extra columns are passed through, those named as results are
-replaced.
+"""Licence texts found by the Dice coefficient over word bigrams.
+
+A text is normalised (lower case; letters, digits and dots inside of words kept,
+so comment marks, line breaks and runs of blanks do not matter) and every pair of
+neighbouring words is a bigram. A window of a text begins at a bigram of a
+template, spans as many bigrams as the template has distinct ones, and ends with
+the last bigram of the template in that span. Its Dice coefficient is
+2 * shared / (sizes of both sets of bigrams).
+
+Texts without any of a few words, one of which every match must hold, are not split
+at all. Size bounds prune twice. Dice reaches ``least`` only if window and template share
+``least / (2 - least)`` of the template's bigrams, as neither set is smaller than
+what they share. So a template is a candidate for a text only if the whole text
+has that many of its bigrams, and a window only if that many places of the
+template's bigrams lie in its span. None of this loses a match. Of windows that
+overlap the best one stands: the highest coefficient, then the larger template,
+then the first in order, then the first place. So a text is named after the
+nearest template and not after each that resembles it.
+
+Only DataFrame functions are used; templates are literals, so nothing is joined,
+shuffled or broadcast. Bigrams are compared by 64-bit hashes. ``templates`` may be
+any list of (name, text), such as whole licence texts read by ``read_templates``.
+
+Cases: a null text is empty and matches nothing, nor does a text of one word. Texts
+of any length are scanned whole. Every row gives one row, repeated rows too; extra
+columns are passed through, and one named ``licenses`` is replaced. Templates without
+two words match nothing. An empty table or list of templates gives no match.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from collections import Counter
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .licence_texts import TEMPLATES
 from .tables import bind, text_of
 
 LEAST = 0.7
-
-# Short notices by SPDX id, as licensors word them.
-TEMPLATES = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    (
-        "MIT",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        "software and associated documentation files (the \"Software\"), to deal in the Software "
-        "without restriction, including without limitation the rights to use, copy, modify, "
-        "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
-        "permit persons to whom the Software is furnished to do so, subject to the following "
-        "conditions:",
-    ),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    (
-        "Apache-2.0",
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
-        "file except in compliance with the License. You may obtain a copy of the License at",
-    ),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
-    (
-        "GPL-3.0-or-later",
-        "This program is free software: you can redistribute it and/or modify it under the terms "
-        "of the GNU General Public License as published by the Free Software Foundation, either "
-        "version 3 of the License, or (at your option) any later version.",
-    ),
-    (
-        "GPL-2.0-or-later",
-        "This program is free software; you can redistribute it and/or modify it under the terms "
-        "of the GNU General Public License as published by the Free Software Foundation; either "
-        "version 2 of the License, or (at your option) any later version.",
-    ),
-    (
-        "BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met:",
-    ),
-    (
-        "ISC",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
-        "without fee is hereby granted, provided that the above copyright notice and this "
-        "permission notice appear in all copies.",
-    ),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    (
-        "CC-BY-SA-4.0",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
-        "License.",
-    ),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC0-1.0", "This work is released into the public domain under CC0 1.0 Universal."),
-)
+DOC = "__doc"
+_MATCH = "struct<license:string,dice:double,shared:int,start:int,stop:int>"
 
 
 def normalised(text: Column) -> Column:
-    """Lower-case words of letters and digits, one space between them."""
-    plain = F.regexp_replace(F.lower(text), "[^\\p{L}\\p{N}.]+", " ")
-    return F.btrim(F.regexp_replace(plain, "\\.+( |$)|(?<= )\\.+", " "), F.lit(" "))
+    """Lower-case words of letters and digits, one space between them; dots at the ends
+    of words go with what separates them."""
+    between = "(?:\\.(?<!\\.\\.)\\.*+)?+[^\\p{L}\\p{N}.][^\\p{L}\\p{N}]*+"
+    return F.btrim(F.regexp_replace(F.lower(text), between, " "), F.lit(" ."))
 
 
-def bigrams(words: Column) -> Column:
-    """Distinct pairs of neighbouring words."""
-    pairs = F.transform(
-        F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda x, i: F.concat_ws(" ", x, F.get(words, i + 1)),
-    )
-    return F.array_distinct(pairs)
+def words(text: Column) -> Column:
+    """Words of a normalised text."""
+    return F.split(normalised(text), " ")
+
+
+def bigrams(w: Column) -> Column:
+    """A hash for each pair of neighbouring words, in order."""
+    firsts = F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0)))
+    return F.transform(firsts, lambda x, i: F.xxhash64(x, F.get(w, i + 1)))
 
 
-def _template_bigrams(spark, text: str) -> list[str]:
-    words = F.split(normalised(F.lit(text)), " +")
-    return spark.range(1).select(bind(words, bigrams)).first()[0]
+def read_templates(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """(file name, text) of every file of a folder, for ``templates``; a list of licences
+    is small by nature."""
+    files = spark.read.text(folder, wholetext=True)
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    return [tuple(r) for r in files.select(name, "value").orderBy(name).collect()]
 
 
-def units(text: Column, longest: int) -> Column:
-    """Lines, paragraphs of several lines, and a text of several lines as a whole,
-    as far as their number of characters lets them be one template."""
-    lines = F.split(text, "\n")
-    paragraphs = F.filter(F.split(text, "\n[ \t\r]*\n"), lambda x: x.contains("\n"))
-    whole = F.when(text.contains("\n"), F.array(text)).otherwise(F.array().cast("array<string>"))
-    return F.filter(
-        F.concat(lines, paragraphs, whole), lambda x: F.length(x).between(3, longest)
+def _template_words(spark: SparkSession, texts: list[str]) -> list[tuple[list[str], list[int]]]:
+    """Words and hashes of bigrams, in order, of each template."""
+    if not texts:
+        return []
+    both = F.transform(
+        F.array(*map(F.lit, texts)),
+        lambda x: bind(words(x), lambda w: F.struct(w.alias("words"), bigrams(w).alias("grams"))),
     )
+    return [(r.words, r.grams) for r in spark.range(1).select(both).first()[0]]
 
 
-def license_scan(docs: DataFrame, least: float = LEAST, column: str = "text") -> DataFrame:
-    """``docs`` with ``licenses``: (license, dice, shared, unit) of every unit that matches."""
-    spark = docs.sparkSession
-    known = [(name, _template_bigrams(spark, text)) for name, text in TEMPLATES]
-    sizes = [len(x) for _, x in known]
-    ratio = least / (2 - least)
-    anchors = _anchors(known, ratio)
-    # a unit of w words has at most w - 1 bigrams, and no fewer characters than words
-    longest = 40 * (int(max(sizes) / ratio) + 2)
-    smallest, largest = min(sizes) * ratio, max(sizes) / ratio
-
-    def best(unit: Column, grams: Column) -> Column:
-        n = F.size(grams)
-        scored = F.array(*[
-            F.struct(
-                F.when(
-                    (n >= len(other) * ratio) & (n <= len(other) / ratio),
-                    F.size(F.array_intersect(grams, F.lit(other))),
-                ).otherwise(0).alias("shared"),
-                F.lit(len(other)).alias("size"),
-                F.lit(name).alias("license"),
-            )
-            for name, other in known
-        ])
-        rated = F.transform(
-            scored,
-            lambda x, i: F.struct(
-                (2.0 * x["shared"] / (n + x["size"])).alias("dice"),
-                (-i).alias("order"),
-                x["shared"].alias("shared"),
-                x["license"].alias("license"),
-            ),
-        )
+def _need(size: int, least: float) -> int:
+    """Bigrams of a template that a match must share; the margin keeps rounding from
+    asking for one too many."""
+    return max(1, math.ceil(size * least / (2 - least) - 1e-9))
+
+
+def _anchors(known: list[list[str]], least: float) -> list[str]:
+    """Strings of which every text with a match holds one.
+
+    A match shares ``need`` bigrams of its template. Words are taken until fewer
+    bigrams than that are without one of them: long ones first, as these are rare in
+    other texts, and of these the one in most bigrams.
+    """
+    chosen: list[str] = []
+    for w in known:
+        grams = set(zip(w, w[1:]))
+        while True:
+            bare = [g for g in grams if not any(a in x for a in chosen for x in g)]
+            if len(bare) < _need(len(grams), least):
+                break
+            found = Counter(x for g in bare for x in set(g))
+            chosen.append(max(found, key=lambda x: (min(len(x), 7), found[x], x)))
+    return sorted(a for a in set(chosen) if not any(b != a and b in a for b in chosen))
+
+
+def _matches(grams: Column, t: Column, least: float) -> Column:
+    """Windows of a text that match template ``t``."""
+    size, need = t["size"], t["need"]
+
+    def window(hits: Column, x: Column) -> Column:
+        near = F.filter(F.slice(hits, x["nth"] + 1, size), lambda h: h < x["start"] + size)
+        return bind(F.array_max(near), lambda last: rated(x["start"], last))
+
+    def rated(start: Column, last: Column) -> Column:
+        inside = F.array_distinct(F.slice(grams, start + 1, last - start + 1))
         return bind(
-            F.array_max(rated),
-            lambda x: F.when(
-                x["dice"] >= least,
-                F.struct(
-                    x["license"].alias("license"), x["dice"].alias("dice"),
-                    x["shared"].alias("shared"), unit.alias("unit"),
+            inside,
+            lambda g: bind(
+                F.size(F.array_intersect(g, t["grams"])),
+                lambda shared: F.struct(
+                    (2.0 * shared / (F.size(g) + size)).alias("dice"),
+                    size.alias("size"),
+                    (-t["nth"]).alias("order"),
+                    (-start).alias("begin"),
+                    shared.alias("shared"),
+                    (last + 2).alias("stop"),
+                    t["license"].alias("license"),
                 ),
             ),
         )
 
-    def judged(unit: Column) -> Column:
-        words = F.split(normalised(unit), " +")
-        return bind(
-            words,
-            lambda w: F.when(
-                F.size(w).between(smallest + 1, 4 * largest + 1)
-                & F.exists(w, lambda x: F.array_contains(F.lit(anchors), x)),
-                bind(bigrams(w), lambda grams: best(unit, grams)),
+    def windows(hits: Column) -> Column:
+        starts = F.transform(
+            hits,
+            lambda h, j: F.struct(
+                h.alias("start"), j.alias("nth"), F.get(hits, j + need - 1).alias("reach")
             ),
         )
+        dense = F.filter(starts, lambda x: x["reach"] < x["start"] + size)
+        return F.filter(F.transform(dense, lambda x: window(hits, x)), lambda x: x["dice"] >= least)
+
+    places = F.sequence(F.lit(0), F.size(grams) - 1)
+    return bind(
+        F.filter(places, lambda i: F.array_contains(t["grams"], F.get(grams, i))), windows
+    )
 
-    found = F.filter(F.transform(units(text_of(column), longest), judged), lambda x: x.isNotNull())
-    return docs.withColumn("licenses", found)
 
+def _standing(found: Column) -> Column:
+    """The best of overlapping windows, in the order of the text."""
+
+    def add(out: Column, x: Column) -> Column:
+        begin = -x["begin"]
+        taken = F.exists(out, lambda o: (o["start"] < x["stop"]) & (begin < o["stop"]))
+        one = F.struct(
+            x["license"].alias("license"), x["dice"].alias("dice"), x["shared"].alias("shared"),
+            begin.alias("start"), x["stop"].alias("stop"),
+        )
+        return F.when(taken, out).otherwise(F.concat(out, F.array(one)))
 
-def _anchors(known: list[tuple[str, list[str]]], ratio: float) -> list[str]:
-    """A few words of which every unit that matches a template holds one.
+    none = F.array().cast(f"array<{_MATCH}>")
+    picked = F.aggregate(F.sort_array(found, asc=False), none, add)
+    return F.array_sort(picked, lambda a, b: a["start"] - b["start"])
 
-    A match shares at least the fraction ``ratio`` of the template's bigrams. Words
-    are taken greedily until fewer bigrams than that are without one of them.
+
+def license_scan(
+    docs: DataFrame, least: float = LEAST, column: str = "text", templates=TEMPLATES
+) -> DataFrame:
+    """``docs`` with ``licenses``, every passage that matches a template.
+
+    A passage is (license, dice, shared, start, stop, passage): positions of words in the
+    normalised text, the end exclusive, and these words.
     """
-    chosen: list[str] = []
-    for _, grams in known:
-        while True:
-            bare = [g for g in grams if not set(g.split()) & set(chosen)]
-            if len(bare) < ratio * len(grams):
-                break
-            words = [w for g in bare for w in g.split()]
-            chosen.append(max(sorted(set(words)), key=words.count))
-    return chosen
+    sets = _template_words(docs.sparkSession, [text for _, text in templates])
+    known = [(name, w, sorted(set(g))) for (name, _), (w, g) in zip(templates, sets) if g]
+    passage = f"array<{_MATCH[:-1]},passage:string>>"
+    if not known:
+        return docs.withColumn("licenses", F.array().cast(passage))
+    every = sorted({g for _, _, grams in known for g in grams})
+    listed = F.array(*[
+        F.struct(
+            F.lit(name).alias("license"),
+            F.lit(nth).alias("nth"),
+            F.lit(len(grams)).alias("size"),
+            F.lit(_need(len(grams), least)).alias("need"),
+            F.lit(grams).cast("array<bigint>").alias("grams"),
+        )
+        for nth, (name, _, grams) in enumerate(known)
+    ])
+    anchors = _anchors([w for _, w, _ in known], least)
+    likely = reduce(lambda a, b: a | b, [F.col("lower").contains(x) for x in anchors])
+    whole = docs.select(
+        F.struct(*docs.columns).alias(DOC), F.lower(text_of(column)).alias("lower")
+    ).select(
+        DOC,
+        F.when(likely, words(F.col("lower")))
+        .otherwise(F.array().cast("array<string>"))
+        .alias("words"),
+    )
+    paired = whole.select(DOC, "words", bigrams(F.col("words")).alias("grams"))
+    shared = paired.select(
+        "*", F.array_intersect("grams", F.lit(every).cast("array<bigint>")).alias("shared")
+    )
+    candidates = F.filter(
+        listed, lambda t: F.size(F.array_intersect(F.col("shared"), t["grams"])) >= t["need"]
+    )
+    found = F.flatten(
+        F.transform(candidates, lambda t: _matches(F.col("grams"), t, least))
+    )
+    smallest = min(_need(len(grams), least) for _, _, grams in known)
+    standing = F.when(F.size("shared") >= smallest, _standing(found)).otherwise(
+        F.array().cast(f"array<{_MATCH}>")
+    )
+    licences = F.transform(
+        standing,
+        lambda x: F.struct(
+            *[x[c].alias(c) for c in ("license", "dice", "shared", "start", "stop")],
+            F.array_join(
+                F.slice(F.col("words"), x["start"] + 1, x["stop"] - x["start"]), " "
+            ).alias("passage"),
+        ),
+    )
+    return shared.select(
+        *[F.col(DOC)[c].alias(c) for c in docs.columns if c.lower() != "licenses"],
+        licences.alias("licenses"),
+    )

@@ -103,3 +103,31 @@ def personal(text):
 
 def sha256(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def licence_words(text):
+    found = re.findall(r"(?:[^\W_]|\.)+", (text or "").lower())
+    return [w for w in (x.strip(".") for x in found) if w]
+
+
+def licences(text, templates, least):
+    """(name, Dice, start, stop) of the standing windows, rating every start."""
+    w = licence_words(text)
+    grams = list(zip(w, w[1:]))
+    rated = []
+    for nth, (name, template) in enumerate(templates):
+        t = licence_words(template)
+        wanted = set(zip(t, t[1:]))
+        for i, g in enumerate(grams):
+            if g not in wanted:
+                continue
+            last = max(k for k in range(i, min(i + len(wanted), len(grams))) if grams[k] in wanted)
+            window = set(grams[i : last + 1])
+            dice = 2 * len(window & wanted) / (len(window) + len(wanted))
+            if dice >= least:
+                rated.append((-dice, -len(wanted), nth, i, last + 2, name))
+    out = []
+    for dice, _, _, start, stop, name in sorted(rated):
+        if all(stop <= s or start >= e for _, _, s, e in out):
+            out.append((name, round(-dice, 9), start, stop))
+    return sorted(out, key=lambda x: x[2])

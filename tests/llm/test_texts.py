@@ -1,6 +1,7 @@
 """Operators on texts against brute force, over prose and odd texts."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -340,19 +341,64 @@ def test_predictive_probabilities_sum_to_one():
         assert abs(model.probability(every).sum() - 1) < 1e-9
 
 
+def _template(name, start=""):
+    return next(t for n, t in licences.TEMPLATES if n == name and t.startswith(start))
+
+
 def test_licenses(spark, none):
+    gpl = _template("GPL-3.0-or-later", "This program")
+    header = "#!/bin/sh\n#\n" + "".join(
+        f"# {' '.join(gpl.split()[i : i + 9])}\n" for i in range(0, len(gpl.split()), 9)
+    ) + "#\n# and WITHOUT ANY WARRANTY\n"
+    mit = _template("MIT", "Permission")
     rows = [
-        (1, "Some prose.\nReleased under the MIT License.", 0),
-        (2, "released UNDER the -- mit license!", 0),
-        (3, "under the bridge of the sea", 0),
-        (4, None, 0),
-        (5, "Licensed under CC BY-NC 4.0.\n\n" + licences.TEMPLATES[2][1].replace("copies", "copies\n"), 0),
-        (6, licences.TEMPLATES[6][1].replace("hope", "x") + "".join(f" w{i}" for i in range(400)), 0),
+        (1, "Some prose.\nReleased under the MIT License.", {"MIT"}),
+        (2, "released UNDER the -- mit license!", {"MIT"}),
+        (3, "under the bridge of the sea", set()),
+        (4, None, set()),
+        (5, "Licensed under CC BY-NC 4.0.\n\n" + mit.replace("copies", "copies\n"), {"CC-BY-NC-4.0", "MIT"}),
+        (6, gpl + "".join(f" w{i}" for i in range(400)), {"GPL-3.0-or-later"}),
+        (7, _template("LGPL-2.1-or-later", "This library"), {"LGPL-2.1-or-later"}),
+        (8, _template("AGPL-3.0-or-later", "This program"), {"AGPL-3.0-or-later"}),
+        (9, header, {"GPL-3.0-or-later"}),
+        (10, "Released under the MIT License." + " " * 6000, {"MIT"}),
+        (11, "Released under" + " " * 6000 + "the MIT License.", {"MIT"}),
+        (12, "x" * 70_000 + " word" * 20_000 + "\n" + mit + " word" * 20_000, {"MIT"}),
+        (13, "." * 50_000 + "a Released under the MIT License", {"MIT"}),
+        (14, "word", set()),
+        (14, "word", set()),
+        (None, "", set()),
     ]
-    found = licences.license_scan(spark.createDataFrame(rows, "doc_id long, text string, licenses int"))
-    got = {r.doc_id: {x.license for x in r.licenses} for r in found.collect()}
-    assert got == {1: {"MIT"}, 2: {"MIT"}, 3: set(), 4: set(), 5: {"CC-BY-NC-4.0", "MIT"}, 6: set()}
+    frame = spark.createDataFrame([r[:2] + (0,) for r in rows], "doc_id long, text string, licenses int")
+    found = licences.license_scan(frame)
+    got = [(r.doc_id, {x.license for x in r.licenses}) for r in found.collect()]
+    assert sorted(got, key=str) == sorted([(i, names) for i, _, names in rows], key=str)
     assert licences.license_scan(none).count() == 0
+    assert licences.license_scan(frame, templates=[]).filter("size(licenses) > 0").count() == 0
+
+
+def test_licenses_against_brute_force(spark, docs, texts):
+    """Every text, and texts mixed from changed templates, over all windows."""
+    rng = random.Random(9)
+    mixed = []
+    for _, text in licences.TEMPLATES:
+        w = text.split()
+        for _ in range(1 + len(w) // 12):
+            w[rng.randrange(len(w))] = rng.choice(["software", "the", "word", "License"])
+        mixed.append(" ".join([*rng.choices(["under", "the", "prose"], k=9), *w, "tail of it", *w[:9], text]))
+    every = [*texts, *mixed]
+    frame = spark.createDataFrame(list(enumerate(every)), "doc_id int, text string")
+    for r in licences.license_scan(frame).collect():
+        got = [(x.license, round(x.dice, 9), x.start, x.stop) for x in r.licenses]
+        assert got == brute.licences(every[r.doc_id], licences.TEMPLATES, licences.LEAST), r.doc_id
+
+
+def test_license_templates_of_a_folder(spark, tmp_path):
+    (tmp_path / "Own-1.0").write_text("You may do with these words\nwhatever you like to do.")
+    listed = licences.read_templates(spark, str(tmp_path))
+    frame = spark.createDataFrame([("so you may do with these words whatever you like to do",)], "text string")
+    found = licences.license_scan(frame, templates=listed).first().licenses
+    assert [(x.license, x.start, x.stop, x.dice) for x in found] == [("Own-1.0", 1, 12, 1.0)]
 
 
 def test_hash_of_listed_spans(docs, texts):
