@@ -22,6 +22,7 @@ import base64
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 
 from .words import slices
 
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 #: Rows decoded at once.
 DECODE_ROWS = 500
 
@@ -68,14 +69,14 @@ class Replay:
             self.pairs[key] = rank
         return rank
 
-    def encode(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of every piece."""
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of every piece, as little-endian 32-bit bytes."""
         whole = [self.ranks.get(piece) for piece in pieces]
         rest = [piece for piece, rank in zip(pieces, whole, strict=True) if rank is None]
         merged = iter(self._merge(rest) if rest else ())
-        return [next(merged) if rank is None else [rank] for rank in whole]
+        return [next(merged) if r is None else r.to_bytes(4, "little") for r in whole]
 
-    def _merge(self, pieces: list[bytes]) -> list[list[int]]:
+    def _merge(self, pieces: list[bytes]) -> list[bytes]:
         flat = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         ends = np.cumsum(sizes)
@@ -97,12 +98,11 @@ class Replay:
         queue = ranks.tolist()
 
         def add(rank: int, i: int) -> None:
-            found = places.get(rank)
-            if found is None:
+            if rank in places:
+                places[rank].append(i)
+            else:
                 places[rank] = [i]
                 heappush(queue, rank)
-            else:
-                found.append(i)
 
         while queue:
             rank = heappop(queue)
@@ -122,26 +122,28 @@ class Replay:
                 after[i] = k
                 if k >= 0:
                     before[k] = i
-                    new = pairs.get(rank << 32 | token[k])
-                    if new is None:
-                        new = pair(rank, token[k])
+                    key = rank << 32 | token[k]
+                    new = pairs[key] if key in pairs else pair(rank, token[k])
                     if new >= 0:
-                        add(new, i)
+                        if new in places:
+                            places[new].append(i)
+                        else:
+                            add(new, i)
                         if new < rank:
                             held = word[i]
                 if h >= 0:
-                    new = pairs.get(token[h] << 32 | rank)
-                    if new is None:
-                        new = pair(token[h], rank)
+                    key = token[h] << 32 | rank
+                    new = pairs[key] if key in pairs else pair(token[h], rank)
                     if new >= 0:
-                        add(new, h)
+                        if new in places:
+                            places[new].append(h)
+                        else:
+                            add(new, h)
                         if new < rank:
                             held = word[i]
-        out: list[list[int]] = [[] for _ in pieces]
-        for k, id_ in zip(word, token, strict=True):
-            if id_ >= 0:
-                out[k].append(id_)
-        return out
+        left = np.array(token)
+        kept = left >= 0
+        return cut(left[kept], np.add.reduceat(kept, ends - sizes))
 
 
 class Recent(dict):
@@ -166,46 +168,87 @@ class Recent(dict):
         return out
 
 
+def cut(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Runs of ids as little-endian 32-bit bytes."""
+    blob = ids.astype("<u4").tobytes()
+    ends = (4 * np.cumsum(counts)).tolist()
+    return [blob[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
 class WordEncoder:
-    """Ids of whole texts as little-endian 32-bit bytes, word by word.
+    """Ids of whole texts, word by word.
 
     The pattern never joins characters across a single space between two
-    characters that are not white space, so such a text can be cut there and its
-    words be encoded alone. Other texts go to ``whole``.
+    characters that are not white space, so a text can be cut there and its parts
+    be encoded alone, each with the space before it. Nearly all parts are words
+    without white space at either end; ``words`` gives their ids as 32-bit bytes.
+    ``whole`` takes the other parts, and the first of each text. Per word of a text
+    there are array operations only; Python sees distinct words.
     """
 
     def __init__(
         self,
-        words: Callable[[list[str]], list[list[int]]],
-        whole: Callable[[list[str]], list[list[int]]],
+        words: Callable[[list[str]], list[bytes]],
+        whole: Callable[[list[str]], list[bytes]],
     ):
         self.words, self.whole = words, whole
         self.known = Recent(KEPT_WORDS)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [text.split(" ") for text in texts]
-        seen: set[str] = set()
-        for p in parts:
-            seen.update(p[1:])
-        heads = {p[0] for p in parts}
-        fresh = self.known.fresh(seen)
-        safe = [w for w in fresh if w and not (w[0].isspace() or w[-1].isspace())]
-        self.known.update(dict.fromkeys(fresh))
-        self.known.update(zip(safe, _packed(self.words([" " + w for w in safe])), strict=True))
-        first_words = [w for w in heads if w and not (w[0].isspace() or w[-1].isspace())]
-        firsts = dict(zip(first_words, _packed(self.words(first_words)), strict=True))
-        out: list[bytes | None] = []
-        for p in parts:
-            first, rest = firsts.get(p[0]), [*map(self.known.__getitem__, p[1:])]
-            out.append(None if first is None or None in rest else first + b"".join(rest))
-        odd = [k for k, ids in enumerate(out) if ids is None]
-        for k, ids in zip(odd, _packed(self.whole([texts[k] for k in odd])), strict=True):
-            out[k] = ids
-        return out
-
-
-def _packed(found: list[list[int]]) -> list[bytes]:
-    return [np.array(ids, "<u4").tobytes() for ids in found]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids laid end to end, and where those of each text begin and end."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        lists = pc.split_pattern(texts, " ")
+        rows = lists.offsets.to_numpy()
+        coded = lists.values.slice(rows[0], rows[-1] - rows[0]).dictionary_encode()
+        rows = rows[:-1] - rows[0]
+        names, codes = coded.dictionary.to_numpy(False).tolist(), coded.indices.to_numpy(False)
+        opens = np.array([bool(w) and not w[0].isspace() for w in names])[codes]
+        closes = np.array([bool(w) and not w[-1].isspace() for w in names])[codes]
+        cuts = np.concatenate([[True], closes[:-1] & opens[1:]])
+        cuts[rows] = True
+        starts = np.flatnonzero(cuts)
+        sizes = np.diff(starts, append=len(codes))
+        plain = (sizes == 1) & (opens & closes)[starts]
+        first = np.zeros(len(codes), bool)
+        first[rows] = True
+        plain &= ~first[starts]
+
+        slots = np.zeros(len(starts), np.int64)
+        used = codes[starts[plain]]
+        distinct = np.flatnonzero(np.bincount(used, minlength=len(names)))
+        place = np.zeros(len(names), np.int64)
+        place[distinct] = np.arange(len(distinct))
+        slots[plain] = place[used]
+        found = self._known([names[k] for k in distinct.tolist()])
+        others: dict[str, int] = {}
+        for k in np.flatnonzero(~plain).tolist():
+            a, b = starts[k], starts[k] + sizes[k]
+            part = " ".join([names[c] for c in codes[a:b].tolist()])
+            slots[k] = others.setdefault(part if first[a] else " " + part, len(found) + len(others))
+        found += self.whole(list(others)) if others else []
+
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        table = np.frombuffer(b"".join(found), "<u4")
+        counts = lengths[slots]
+        ids = _runs(table, (np.cumsum(lengths) - lengths)[slots], counts)
+        per_text = np.add.reduceat(counts, np.searchsorted(starts, rows))
+        return ids, np.concatenate([[0], np.cumsum(per_text)])
+
+    def _known(self, names: list[str]) -> list[bytes]:
+        fresh = self.known.fresh(names)
+        if fresh:
+            self.known.update(zip(fresh, self.words(fresh), strict=True))
+        return [*map(self.known.__getitem__, names)]
+
+
+def _runs(table: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Parts of a table, given by start and length, laid end to end."""
+    ends = np.cumsum(counts)
+    steps = np.repeat(starts - ends + counts, counts)
+    steps += np.arange(len(steps))
+    return table[steps]
 
 
 @lru_cache(2)
@@ -213,13 +256,27 @@ def _encoder(path: str) -> WordEncoder:
     replay, pattern = Replay(path), regex.compile(public_tokenizers.PATTERN)
     ids = Recent(KEPT_WORDS // 2)
 
-    def encode(texts: list[str]) -> list[list[int]]:
-        pieces = [pattern.findall(text) for text in texts]
-        new = ids.fresh({p for found in pieces for p in found})
+    def piece_ids(pieces: list[str]) -> list[bytes]:
+        new = ids.fresh(dict.fromkeys(pieces))
         ids.update(zip(new, replay.encode([p.encode() for p in new]), strict=True))
-        return [[i for p in found for i in ids[p]] for found in pieces]
+        return [*map(ids.__getitem__, pieces)]
+
+    def words(found: list[str]) -> list[bytes]:
+        # one search for all: a piece with a space in front begins a word
+        pieces = pattern.findall(" " + " ".join(found))
+        starts = [k for k, p in enumerate(pieces) if p[0] == " "]
+        blobs = piece_ids(pieces)
+        return [
+            blobs[a] if b - a == 1 else b"".join(blobs[a:b])
+            for a, b in zip(starts, [*starts[1:], len(pieces)], strict=True)
+        ]
+
+    def whole(texts: list[str]) -> list[bytes]:
+        found = [pattern.findall(text) for text in texts]
+        blobs = iter(piece_ids([p for pieces in found for p in pieces]))
+        return [b"".join(islice(blobs, len(pieces))) for pieces in found]
 
-    return WordEncoder(encode, encode)
+    return WordEncoder(words, whole)
 
 
 def with_column(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
@@ -234,11 +291,9 @@ def _appended(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBa
 
 def _encoded(batches, path: str, column: str, out: str) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, column):
-        texts = [t or "" for t in batch.column(column).to_pylist()]
-        packed = _encoder(path).encode(texts)
-        ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype(np.int32)
-        ids = np.frombuffer(b"".join(packed), np.int32)
-        yield _appended(batch, out, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
+        ids, ends = _encoder(path).encode(batch.column(column))
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))
+        yield _appended(batch, out, lists)
 
 
 @lru_cache(2)

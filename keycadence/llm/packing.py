@@ -31,12 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import WordEncoder
+from .bpe import WordEncoder, cut
 from .tables import materialize, parts_for
 from .words import slices
 
 CAPACITY = 2048
 END = 0
+#: How byte-level vocabularies write a space, and words given to the tokenizer at once.
+BYTE_LEVEL_SPACE = "\u0120"
+CALL_WORDS = 512
 #: Rounds of the weights, and how fast they fall.
 ROUNDS = 1200
 STEP = 0.25
@@ -51,10 +54,24 @@ def _encoder(path: str) -> WordEncoder:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    vocabulary = tokenizer.get_vocab()
+    spaced = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with a space
+    spaced[[i for token, i in vocabulary.items() if token[0] == BYTE_LEVEL_SPACE]] = True
+
+    def ids_of(texts: list[str]) -> list[list[int]]:
         return [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return WordEncoder(encode, encode)
+    def words(found: list[str]) -> list[bytes]:
+        # many words to a call; a token with a space in front begins a word
+        lines = [" " + " ".join(found[k : k + CALL_WORDS]) for k in range(0, len(found), CALL_WORDS)]
+        ids = np.concatenate([np.array(x, np.int64) for x in ids_of(lines)])
+        starts = np.flatnonzero(spaced[ids])
+        return cut(ids, np.diff(starts, append=len(ids)))
+
+    def whole(texts: list[str]) -> list[bytes]:
+        return [np.array(x, "<u4").tobytes() for x in ids_of(texts)]
+
+    return WordEncoder(words, whole)
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -62,11 +79,12 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            packed = _encoder(path).encode([t or "" for t in batch.column("text").to_pylist()])
+            flat, ends = _encoder(path).encode(batch.column("text"))
+            blob, ends = flat.astype("<u4").tobytes(), (4 * ends).tolist()
             end = np.array([END], "<u4").tobytes()
             doc_ids, rows = batch.column("doc_id").to_pylist(), []
-            for doc_id, ids in zip(doc_ids, packed, strict=True):
-                ids += end
+            for doc_id, a, b in zip(doc_ids, ends, ends[1:], strict=False):
+                ids = blob[a:b] + end
                 size = len(ids) // 4
                 first = size % capacity or capacity
                 starts = [0, *range(first, size, capacity)]

@@ -268,6 +268,28 @@ def test_bpe_equals_tiktoken(docs, texts, none):
     assert bpe.encode(none, path).count() == 0
 
 
+def test_words_joined_by_any_white_space():
+    parts = ["a", "Zoë", "1234", "it's", "x.", "(y)", "\u00a0", "\x85", "\x1c", "<|endoftext|>", "日本", "Ġ", "é\u0301"]
+    gaps = [" ", "  ", "   ", "\n", " \n", "\n ", "\r\n", "\t", " \t ", "\u3000", "", " \n\n "]
+    chosen = random.Random(7)
+    texts = ["", " ", "\n", "  a", "a ", "a  ", None]
+    for size in (1, 2, 3, 5, 9, 40) * 60:
+        text = "".join(chosen.choice(parts) + chosen.choice(gaps) for _ in range(size))
+        texts.append(chosen.choice(["", " ", "\n "]) + text.rstrip(chosen.choice(["", " ", "\n"])))
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    ranks = bpe.vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))[0]
+    plain = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for encoder, expected in (
+        (packing._encoder(public_tokenizers.path("byte_bpe_50k.json")),
+         lambda t: library.encode(t, add_special_tokens=False).ids),
+        (bpe._encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), plain.encode_ordinary),
+    ):
+        ids, ends = encoder.encode(pa.array(texts))
+        for text, a, b in zip(texts, ends, ends[1:], strict=False):
+            assert ids[a:b].tolist() == expected(text or ""), repr(text)
+
+
 def test_packing(docs, texts, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
