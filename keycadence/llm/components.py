@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import materialize
+from .tables import materialize, spread
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -55,12 +55,12 @@ def _large_star(edges: DataFrame) -> DataFrame:
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(
         "a", F.least("a", "m").alias("m")
     )
-    moved = both.filter(F.col("b") > F.col("a")).join(least, "a")
+    moved = both.filter(F.col("b") > F.col("a")).join(spread(least), "a")
     return _both_down(moved.select(F.col("b").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Smaller neighbours of each node, and the node, go below the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = edges.join(spread(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _both_down(moved.unionByName(least.select("a", F.col("m").alias("b"))))

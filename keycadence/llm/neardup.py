@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import discard, materialize
+from .tables import discard, materialize, spread
 from .words import mixed, shingles, slices, word_codes, word_hashes
 
 SYMBOLS = 84
@@ -214,7 +214,7 @@ def _bits_allow() -> Column:
 def _whole(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The texts of distinct wanted ``doc_id``s, one row for each."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return texts.join(spread(wanted), "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
 
 def _side(rows: DataFrame, x: str) -> DataFrame:
@@ -228,7 +228,7 @@ def confirmed(near: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     """Of distinct (a, b) pairs those with ``100 * intersection >= percent * union``."""
     wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
     sets = materialize(shingle_sets(_whole(docs, wanted), width), "sets")
-    both = near.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b")
+    both = near.join(spread(_side(sets, "a")), "a").join(spread(_side(sets, "b")), "b")
     shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
     either = F.size("shingles_a") + F.size("shingles_b") - shared
     return both.filter(100 * shared >= percent * either).select("a", "b")
@@ -240,35 +240,37 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     named = known.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = materialize(named.groupBy("same").agg(F.min("doc_id").alias("doc_id")), "classes")
     reps = materialize(
-        known.join(classes, ["same", "doc_id"]).dropDuplicates(["same", "doc_id"]),
+        known.join(spread(classes), ["same", "doc_id"]).dropDuplicates(["same", "doc_id"]),
         "representatives",
     )
     keys = keys_of(reps)
     hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("n"))
     members = materialize(
-        keys.join(hubs.filter("n > 1").drop("n"), "key"), "members"
+        keys.join(spread(hubs.filter("n > 1").drop("n")), "key"), "members"
     )
     stars = members.filter("doc_id != hub").select(
         F.col("hub").alias("a"), F.col("doc_id").alias("b")
     ).distinct()
     # one document under several texts: its classes share a representative id
-    again = named.join(classes.withColumnRenamed("doc_id", "rep"), "same").filter(
+    again = named.join(spread(classes.withColumnRenamed("doc_id", "rep")), "same").filter(
         "doc_id != rep"
     )
     own = again.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    twice = own.join(reps.select(F.col("doc_id").alias("b")).distinct(), "b", "left_semi")
+    twice = own.join(spread(reps.select(F.col("doc_id").alias("b")).distinct()), "b", "left_semi")
     slim = reps.select("doc_id", "n_shingles", "signature")
-    near = stars.join(_side(slim, "a"), "a").join(_side(slim, "b"), "b").filter(
+    near = stars.join(spread(_side(slim, "a")), "a").join(spread(_side(slim, "b")), "b").filter(
         _sizes_allow(percent) & _plausible()
     )
     near = materialize(near.select("a", "b"), "near")
     links = materialize(confirmed(near, docs, width, percent), "links")
     first = components(links)
     labelled = materialize(
-        members.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        members.join(spread(first.withColumnRenamed("node", "doc_id")), "doc_id", "left")
         .withColumn("component", F.coalesce("component", "doc_id"))
         .join(
-            first.select(F.col("node").alias("hub"), F.col("component").alias("hub_component")),
+            spread(
+                first.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
+            ),
             "hub",
             "left",
         )
@@ -279,7 +281,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     discard(members)
     mixed_keys = labelled.filter("component != hub_component").select("key").distinct()
     open_rows = materialize(
-        labelled.join(mixed_keys, "key", "left_semi")
+        labelled.join(spread(mixed_keys), "key", "left_semi")
         .withColumn("stray", F.col("component") != F.col("hub_component"))
         .drop("hub_component"),
         "open",
@@ -288,31 +290,31 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     bits = materialize(
         long_signatures(_whole(docs, open_rows.select("doc_id").distinct()), width), "bits"
     )
-    signed = materialize(bits.join(reps.select("doc_id", "n_shingles"), "doc_id"), "signed")
+    signed = materialize(bits.join(spread(reps.select("doc_id", "n_shingles")), "doc_id"), "signed")
     discard(bits)
-    stored, open_rows = open_rows, open_rows.join(signed, "doc_id")
+    stored, open_rows = open_rows, open_rows.join(spread(signed), "doc_id")
     rest = _side(open_rows.filter("stray"), "a").join(
-        _side(open_rows, "b"),
+        spread(_side(open_rows, "b")),
         (F.col("key_a") == F.col("key_b"))
         & (F.col("component_a") != F.col("component_b"))
         & (~F.col("stray_b") | (F.col("a") < F.col("b")))
         & _sizes_allow(percent)
         & _bits_allow(),
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialize(rest.distinct().join(near, ["a", "b"], "left_anti"), "rest")
+    rest = materialize(rest.distinct().join(spread(near), ["a", "b"], "left_anti"), "rest")
     discard(stored, signed)
     more = confirmed(rest, docs, width, percent)
     known_links = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = components(known_links.unionByName(more).unionByName(twice))
     by_row = (
         known.select("doc_id", "n_shingles", "same")
-        .join(classes.withColumnRenamed("doc_id", "rep"), "same", "left")
+        .join(spread(classes.withColumnRenamed("doc_id", "rep")), "same", "left")
         .withColumn(
             "rep",
             F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id"))
             .otherwise(F.col("rep")),
         )
-        .join(found.withColumnRenamed("node", "rep"), "rep", "left")
+        .join(spread(found.withColumnRenamed("node", "rep")), "rep", "left")
     )
     component = F.coalesce("component", "rep")
     return by_row.select(
@@ -328,4 +330,4 @@ def dedup_filter(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     dropped = near_duplicates(docs, width, percent).filter("NOT kept").select(
         F.col("doc_id").alias("__gone")
     )
-    return docs.join(dropped.distinct(), F.col("doc_id") == F.col("__gone"), "left_anti")
+    return docs.join(spread(dropped.distinct()), F.col("doc_id") == F.col("__gone"), "left_anti")
