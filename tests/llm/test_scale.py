@@ -1,7 +1,7 @@
 """What must not grow with the tables: broadcasts, and pairs inside joins."""
 
 
-from keycadence.llm import components, neardup
+from keycadence.llm import components, neardup, passages
 
 from . import brute
 
@@ -25,3 +25,16 @@ def test_near_duplicates_broadcast_nothing(docs, texts, monkeypatch):
     assert not [label for label, plan in plans if "Broadcast" in plan]
     wanted = brute.near_components(dict(enumerate(texts)), 4)
     assert {r.doc_id: r.component_id for r in found.collect()} == {i: c for i, (_, c) in wanted.items()}
+
+
+def test_passages_broadcast_nothing(docs, monkeypatch):
+    plans = []
+
+    def kept(rows, label, write=passages.materialize):
+        plans.append((label, _plan(rows)))
+        return write(rows, label)
+
+    monkeypatch.setattr(passages, "materialize", kept)
+    plans.append(("filter", _plan(passages.passage_filter(docs))))
+    assert {"survivors", "blocks", "members", "open", "often", "checked"} <= {label for label, _ in plans}
+    assert not [label for label, plan in plans if "Broadcast" in plan]
