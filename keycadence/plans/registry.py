@@ -14,7 +14,7 @@ from ..operators.board import rankable
 from ..operators.ranks import positions
 from ..operators.stats import user_stats, with_performance_level
 from ..session import use_utc
-from ..sources.replay import replay_parquet, write_in_parts
+from ..sources.replay import files_for, replay_parquet, write_in_parts
 from ..sources.storage import read_log, read_version, run_folder, write_version
 from ..streaming import counter, service, sinks
 from ..streaming.health import health
@@ -341,21 +341,25 @@ def event_counter_sliced(spark, sf_dir):
 
 #: Micro-batches of a replay.
 PARTS = 6
-_parts: dict[tuple[str, str, str], str] = {}
+_parts: dict[tuple[str, str, str], tuple[str, int]] = {}
 
 
 def _in_parts(spark, sf_dir, order="ts", events=None):
-    """The stored events as files in ascending order; written once for a session."""
+    """The stored events as files in ascending order, and the files of a micro-batch.
+
+    Written once for a session.
+    """
     known = (spark.sparkContext.applicationId, sf_dir, order)
     if known not in _parts:
         rows = _table(spark, sf_dir, "events") if events is None else events
-        _parts[known] = write_in_parts(rows, order, PARTS, run_folder(spark, "replay"))
+        files = files_for(rows, PARTS)
+        _parts[known] = write_in_parts(rows, order, PARTS, run_folder(spark, "replay"), files), files
     return _parts[known]
 
 
 def _replay(spark, sf_dir):
-    folder = _in_parts(spark, sf_dir)
-    return typing_records(replay_parquet(use_utc(spark), folder, files_per_trigger=1))
+    folder, files = _in_parts(spark, sf_dir)
+    return typing_records(replay_parquet(use_utc(spark), folder, files_per_trigger=files))
 
 
 def _complete_run(spark, sf_dir, label, shape=None):
@@ -491,8 +495,8 @@ def stream_sessions_in_order(spark, sf_dir):
     """Sessions by event time from batches that overlap by ``DISORDER_HOURS``."""
     moved = F.pmod(F.xxhash64("event_id"), F.lit(DISORDER_HOURS * 3600))
     events = _table(spark, sf_dir, "events").withColumn("arrival", F.unix_seconds(F.col("ts").cast("timestamp")) + moved)
-    folder = _in_parts(spark, sf_dir, "arrival", events)
-    records = typing_records(replay_parquet(spark, folder, files_per_trigger=1).drop("arrival"))
+    folder, files = _in_parts(spark, sf_dir, "arrival", events)
+    records = typing_records(replay_parquet(spark, folder, files_per_trigger=files).drop("arrival"))
     out = run_folder(spark, "sessions")
     sinks.start_batches(
         in_order(session_marks(records), f"{DISORDER_HOURS} hours"),

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .files import Files
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """A text log with one JSON event per line, as records."""
@@ -37,12 +39,29 @@ def replay_parquet(
     return reader.parquet(_as_glob(path))
 
 
-def write_in_parts(rows: DataFrame, order: str, parts: int, folder: str) -> str:
+#: Rows of one file of a replay: a file is read by one task.
+FILE_ROWS = 50_000
+#: Files of one part; Spark keeps a list of 10,000 files to come and may cut a batch there.
+MOST_FILES = 1_000
+
+
+def files_for(rows: DataFrame, parts: int) -> int:
+    """Files for each of ``parts`` equal parts of these rows; counts them."""
+    return min(MOST_FILES, max(1, -(-rows.count() // (parts * FILE_ROWS))))
+
+
+def write_in_parts(
+    rows: DataFrame, order: str, parts: int, folder: str, files: int = 1
+) -> str:
     """Stored rows as files in ascending ``order``, for a replay in several batches.
 
     Borders are quantiles; each range is written after the one before it, which is the
-    order in which a stream takes files up. Rows without a value come first.
+    order in which a stream takes files up. Rows without a value come first. Every range
+    is ``files`` files, empty ones if there are too few rows, so that a stream that takes
+    up ``files`` of them at a time has a range in each batch.
     """
+    store, spark = Files(rows.sparkSession, folder), rows.sparkSession
+    empty, written = spark.createDataFrame([], rows.schema).coalesce(1), 0
     shares = [k / parts for k in range(1, parts)]
     borders = rows.agg(F.percentile_approx(order, shares)).first()[0] or []
     value, low = F.col(order), None
@@ -52,7 +71,11 @@ def write_in_parts(rows: DataFrame, order: str, parts: int, folder: str) -> str:
             part = part.filter(value > low)
         if high is not None:
             part = part.filter((value <= high) if low is not None else value.isNull() | (value <= high))
-        part.coalesce(1).write.mode("append").parquet(folder)
+        part = part.repartition(files) if files > 1 else part.coalesce(1)
+        part.write.mode("append").option("maxRecordsPerFile", 0).parquet(folder)
+        written += files
+        for _ in range(written - sum(name.startswith("part-") for name in store.names(""))):
+            empty.write.mode("append").parquet(folder)
         low = high
     return folder
 

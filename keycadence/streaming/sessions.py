@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,73 +20,168 @@ from ..schema import SESSION_START, TEST_COMPLETE
 # this package installed can run it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Stands for a missing time in the state: a column of nulls has no certain type
-# on its way through pandas.
+# Stands for a missing time in the state, and comes before all others.
 _NO_TIME = -(1 << 62)
 
-_STATE = "start_us long, end_us long, events_count long"
+#: Users are hashed into so many groups. A group is one state row and one call of the
+#: state function, which works on all of its users at once by arrays; a call for each
+#: user costs milliseconds and more than all else. Fixed by a stream's first start.
+GROUPS = 1024
+
+_KINDS = [SESSION_START, TEST_COMPLETE]
+_SESSIONS = pa.schema([
+    ("userId", pa.string()), ("start_us", pa.int64()), ("end_us", pa.int64()),
+    ("events_count", pa.int64()), ("seen_ms", pa.int64()),
+])
+_WAITING = pa.schema([
+    ("userId", pa.string()), ("at_us", pa.int64()), ("event_id", pa.string()), ("kind", pa.int8()),
+])
 _OUTPUT = "userId string, start_us long, end_us long, events_count long"
 
+_Rows = dict[str, np.ndarray]
+
+
+def _packed(rows: _Rows, schema: pa.Schema) -> bytes:
+    """Columns as the bytes that stand in the state."""
+    arrays = [pa.array(rows[f.name], f.type, from_pandas=True) for f in schema]
+    return pa.record_batch(arrays, schema=schema).serialize().to_pybytes()
+
+
+def _unpacked(data: bytes | None, schema: pa.Schema) -> _Rows:
+    if data is None:
+        return {f.name: np.zeros(0, object if f.type == pa.string() else f.type.to_pandas_dtype()) for f in schema}
+    batch = pa.ipc.read_record_batch(pa.py_buffer(bytes(data)), schema)
+    return {f.name: batch.column(f.name).to_numpy(zero_copy_only=False) for f in schema}
+
+
+def _joined(parts: list[_Rows], schema: pa.Schema) -> _Rows:
+    return {name: np.concatenate([part[name] for part in parts]) for name in schema.names}
+
+
+def _picked(rows: _Rows, which: np.ndarray) -> _Rows:
+    return {name: values[which] for name, values in rows.items()}
+
+
+def _events(part: pd.DataFrame) -> _Rows:
+    """Columns of ``_WAITING`` out of a part of a micro-batch."""
+    kinds = part["eventType"].to_numpy(object)
+    kind = np.full(len(part), len(_KINDS), np.int8)
+    for code, name in enumerate(_KINDS):
+        kind[kinds == name] = code
+    return {
+        "userId": part["userId"].to_numpy(object),
+        "at_us": part["at_us"].fillna(_NO_TIME).to_numpy("int64"),
+        "event_id": part["event_id"].to_numpy(object),
+        "kind": kind,
+    }
+
+
+def _order(user: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places in the order of user, time and event id, without an id first."""
+    order = np.lexsort((at, user))
+    same = (np.diff(user[order]) == 0) & (np.diff(at[order]) == 0)
+    if not same.any():
+        return order
+    tied = order[np.append(same, False) | np.append(False, same)]
+    rank = np.zeros(len(at), np.int64)
+    rank[tied] = pd.factorize(ids[tied], sort=True)[0]
+    return np.lexsort((rank, at, user))
 
-def _advance(state: tuple | None, events: pd.DataFrame) -> tuple | None:
-    """State after a user's events of one micro-batch, in event order."""
-    events = events.sort_values(["at_us", "event_id"], na_position="first")
-    kinds = events["eventType"].to_numpy()
-    starts = (kinds == SESSION_START).nonzero()[0]
-    if len(starts):
-        events, kinds = events.iloc[starts[-1] :], kinds[starts[-1] :]
-        first = events["at_us"].iloc[0]
-        state = (_NO_TIME if pd.isna(first) else int(first), _NO_TIME, 0)
-    if state is None:
-        return None
-    start_us, end_us, count = state
-    ends = events["at_us"][kinds == TEST_COMPLETE].dropna()
-    if len(ends):
-        end_us = int(ends.iloc[-1])
-    return start_us, end_us, count + len(events)
+
+def _advance(sessions: _Rows, events: _Rows, now: int = 0) -> tuple[_Rows, np.ndarray]:
+    """Sessions after some events, each user's in event order, and which of them had any."""
+    known = len(sessions["userId"])
+    codes, users = pd.factorize(np.concatenate([sessions["userId"], events["userId"]]))
+    user = codes[known:]
+    order = _order(user, events["at_us"], events["event_id"])
+    user, at, kind = user[order], events["at_us"][order], events["kind"][order]
+    begins = np.flatnonzero(np.diff(user, prepend=-1))
+    sizes = np.diff(np.append(begins, len(user)))
+    place = np.arange(len(user))
+
+    def last(wanted: np.ndarray) -> np.ndarray:
+        return np.maximum.reduceat(np.where(wanted, place, -1), begins) if len(begins) else begins
+
+    start = last(kind == 0)
+    started = start >= 0
+    first = np.where(started, start, begins)
+    end = last((kind == 1) & (at != _NO_TIME) & (place >= np.repeat(first, sizes)))
+
+    more = np.zeros(len(users) - known, np.int64)
+    after = {name: np.concatenate([sessions[name], more]) for name in _SESSIONS.names[1:]}
+    after["userId"] = np.asarray(users, object)
+    opened = np.arange(len(users)) < known
+    touched = np.zeros(len(users), bool)
+    who = user[begins]
+    before_end = np.where(started, _NO_TIME, after["end_us"][who])
+    after["start_us"][who] = np.where(started, at[first], after["start_us"][who])
+    after["end_us"][who] = np.where(end >= 0, at[end], before_end)
+    counted = np.where(started, 0, after["events_count"][who])
+    after["events_count"][who] = counted + begins + sizes - first
+    after["seen_ms"][who] = now
+    opened[who] |= started
+    touched[who] = True
+    return _picked(after, opened), touched[opened]
+
+
+def _shown(sessions: _Rows, which: np.ndarray) -> pd.DataFrame:
+    names = ["userId", "start_us", "end_us", "events_count"]
+    return pd.DataFrame({name: sessions[name][which] for name in names})
+
+
+def _group(groups: int) -> Column:
+    return F.pmod(F.xxhash64("userId"), F.lit(groups)).cast("int").alias("group")
 
 
 def _time(micros: str) -> Column:
     return F.timestamp_micros(F.nullif(F.col(micros), F.lit(_NO_TIME)))
 
 
-def stream_sessions(events: DataFrame, timeout_seconds: int | None = None) -> DataFrame:
+def stream_sessions(
+    events: DataFrame, timeout_seconds: int | None = None, groups: int = GROUPS
+) -> DataFrame:
     """Streaming form of ``session_tracker``; use with update output mode.
 
-    One small state row per user. Sessions never expire unless
-    ``timeout_seconds`` is given; then state idle for longer is dropped. (Spark
-    then runs batches without data for ever: a run that is to end with its input
-    also needs ``spark.sql.streaming.noDataMicroBatches.enabled=false``.)
-    A micro-batch holds a user's events in one task, so the source's rate limit
-    bounds that group. Events are put in order within a micro-batch; across
+    One small session per user, kept in a state row for each of ``groups`` groups of
+    users. Sessions never expire unless ``timeout_seconds`` is given; then those idle
+    for longer are dropped. (Spark then runs batches without data for ever: a run that
+    is to end with its input also needs
+    ``spark.sql.streaming.noDataMicroBatches.enabled=false``.)
+    A micro-batch holds a group's events in one task, so the source's rate limit
+    bounds them. Events are put in order within a micro-batch; across
     micro-batches the order of arrival counts.
     """
+    idle = (timeout_seconds or 0) * 1000
 
     def step(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        before = state.get if state.exists else None
-        after = _advance(before, pd.concat(list(batches), ignore_index=True))
-        if after is None:
+        sessions = _unpacked(state.get[0] if state.exists else None, _SESSIONS)
+        touched = np.zeros(len(sessions["userId"]), bool)
+        now = state.getCurrentProcessingTimeMs()
+        if not state.hasTimedOut:
+            fresh = _joined([_events(part) for part in batches], _WAITING)
+            sessions, touched = _advance(sessions, fresh, now)
+        if idle:
+            kept = touched | (sessions["seen_ms"] + idle > now)
+            sessions, touched = _picked(sessions, kept), touched[kept]
+        if not len(touched):
+            if state.exists:
+                state.remove()
             return
-        state.update(after)
-        if timeout_seconds:
-            state.setTimeoutDuration(timeout_seconds * 1000)
-        start_us, end_us, count = after
-        yield pd.DataFrame(
-            {"userId": [key[0]], "start_us": [start_us], "end_us": [end_us], "events_count": [count]}
-        )
+        state.update((_packed(sessions, _SESSIONS),))
+        if idle:
+            state.setTimeoutDuration(max(1, int(sessions["seen_ms"].min()) + idle - now))
+        if touched.any():
+            yield _shown(sessions, touched)
 
     marks = events.filter(F.col("userId").isNotNull()).select(
-        "userId", "eventType", "event_id", F.unix_micros("event_ts").alias("at_us")
+        "userId", "eventType", "event_id", F.unix_micros("event_ts").alias("at_us"), _group(groups)
     )
     kinds = GroupStateTimeout
     wait = kinds.ProcessingTimeTimeout if timeout_seconds else kinds.NoTimeout
-    tracked = marks.groupBy("userId").applyInPandasWithState(
-        step, _OUTPUT, _STATE, "update", wait
+    tracked = marks.groupBy("group").applyInPandasWithState(
+        step, _OUTPUT, "sessions binary", "update", wait
     )
     return tracked.select(
         "userId",
@@ -97,14 +193,10 @@ def stream_sessions(events: DataFrame, timeout_seconds: int | None = None) -> Da
 
 # Event order across micro-batches
 
-_KINDS = [SESSION_START, TEST_COMPLETE, ""]
-_ORDERED_STATE = (
-    "start_us long, end_us long, events_count long, open boolean, "
-    "waiting_us array<long>, waiting_id array<string>, waiting_kind array<int>"
-)
-
 
-def stream_sessions_in_order(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
+def stream_sessions_in_order(
+    events: DataFrame, delay: str = "10 minutes", groups: int = GROUPS
+) -> DataFrame:
     """Sessions by event time, also where events arrive out of order; update mode.
 
     A user's events wait until the watermark, ``delay`` behind the newest event of the
@@ -113,58 +205,46 @@ def stream_sessions_in_order(events: DataFrame, delay: str = "10 minutes") -> Da
     as no event is later than ``delay``, what the batch tracker gives for all events so
     far. Later ones change nothing and are counted by ``late_events``.
 
-    State holds one session per user and the events of the last ``delay``. A timer at
-    the oldest waiting event takes them in even if the user sends no more. Events
-    without a time cannot be placed and take no part.
+    State holds one session per user and the events of the last ``delay``, in a row for
+    each of ``groups`` groups of users. A timer at the oldest waiting event of a group
+    takes them in even if its users send no more. Events without a time cannot be placed
+    and take no part.
     """
 
     def step(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        session, parts = None, []
-        if state.exists:
-            *known, opened, us, ids, kinds = state.get
-            session = tuple(known) if opened else None
-            parts.append(
-                pd.DataFrame({
-                    "at_us": np.array(us, "int64"),
-                    "event_id": np.array(ids, object),
-                    "eventType": np.array([_KINDS[k] for k in kinds], object),
-                })
-            )
-        fresh = not state.hasTimedOut
-        if fresh:
-            parts += [part[["at_us", "event_id", "eventType"]] for part in batches]
-        waiting = pd.concat(parts, ignore_index=True)
-        waiting = waiting.sort_values(["at_us", "event_id"], na_position="first", ignore_index=True)
+        known = state.get if state.exists else (None, None)
+        sessions, waiting = _unpacked(known[0], _SESSIONS), _unpacked(known[1], _WAITING)
+        senders = None
+        if not state.hasTimedOut:
+            fresh = _joined([_events(part) for part in batches], _WAITING)
+            senders = pd.unique(fresh["userId"])
+            waiting = _joined([waiting, fresh], _WAITING)
         past = waiting["at_us"] < state.getCurrentWatermarkMs() * 1000
-        settled, waiting = waiting[past], waiting[~past]
-        if len(settled):
-            session = _advance(session, settled)
-        kinds = [_KINDS.index(k) if k in _KINDS else 2 for k in waiting["eventType"]]
-        state.update((
-            *(session or (_NO_TIME, _NO_TIME, 0)), session is not None,
-            [int(t) for t in waiting["at_us"]], list(waiting["event_id"]), kinds,
-        ))
-        if len(waiting):
-            due = int(waiting["at_us"].iloc[0]) // 1000 + 1
+        if past.any():
+            sessions, _ = _advance(sessions, _picked(waiting, past))
+            waiting = _picked(waiting, ~past)
+        state.update((_packed(sessions, _SESSIONS), _packed(waiting, _WAITING)))
+        if len(waiting["at_us"]):
+            due = int(waiting["at_us"].min()) // 1000 + 1
             state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        if fresh:
-            shown = _advance(session, waiting) if len(waiting) else session
-            if shown is not None:
-                start_us, end_us, count = shown
-                yield pd.DataFrame({
-                    "userId": [key[0]], "start_us": [start_us], "end_us": [end_us],
-                    "events_count": [count],
-                })
+        if senders is not None:
+            sent = lambda rows: _picked(rows, pd.Series(rows["userId"]).isin(senders).to_numpy())
+            shown, _ = _advance(sent(sessions), sent(waiting))
+            if len(shown["userId"]):
+                yield _shown(shown, np.ones(len(shown["userId"]), bool))
 
     marks = (
         events.filter(F.col("userId").isNotNull() & F.col("event_ts").isNotNull())
         .withWatermark("event_ts", delay)
-        .select("userId", "eventType", "event_id", "event_ts", F.unix_micros("event_ts").alias("at_us"))
+        .select(
+            "userId", "eventType", "event_id", "event_ts",
+            F.unix_micros("event_ts").alias("at_us"), _group(groups),
+        )
     )
-    tracked = marks.groupBy("userId").applyInPandasWithState(
-        step, _OUTPUT, _ORDERED_STATE, "update", GroupStateTimeout.EventTimeTimeout
+    tracked = marks.groupBy("group").applyInPandasWithState(
+        step, _OUTPUT, "sessions binary, waiting binary", "update", GroupStateTimeout.EventTimeTimeout
     )
     return tracked.select(
         "userId",
