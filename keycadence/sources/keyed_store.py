@@ -32,6 +32,9 @@ VERSION = "version"
 BUCKET = "bucket"
 #: Rows of one bucket, which is one file; smaller runs are one file.
 BUCKET_ROWS = 500_000
+#: A run has at most so many buckets smaller than that: with more, the files of a change
+#: cost more than their rows.
+SMALL_BUCKETS = 128
 #: Up to so many requested keys are sent to the files; more are joined.
 FEW_KEYS = 10_000
 
@@ -157,7 +160,8 @@ class KeyedStore:
 
     def write_run(self, rows: DataFrame, version: int, at_most: int) -> Run:
         """Write rows, one per key, as a run that no manifest names yet."""
-        buckets = max(1, -(-at_most // self.bucket_rows))
+        full = -(-at_most // BUCKET_ROWS)
+        buckets = max(1, min(-(-at_most // self.bucket_rows), max(full, SMALL_BUCKETS)))
         path = f"runs/{version}-{uuid.uuid4().hex[:12]}"
         (
             rows.withColumn(BUCKET, _bucket(self.key, buckets))

@@ -10,6 +10,7 @@ from keycadence.operators.sessions import session_tracker
 from keycadence.plans import analytics
 from keycadence.plans.sample import typing_records
 from keycadence.sources.files import Files
+from keycadence.sources.keyed_store import SMALL_BUCKETS, KeyedStore
 from keycadence.sources.replay import replay_parquet, write_in_parts
 from keycadence.sources.storage import read_log
 from keycadence.streaming import sessions, sinks
@@ -32,6 +33,18 @@ def test_a_part_of_a_replay_is_several_files(spark, tmp_path):
     assert all(before[2] < after[1] for before, after in zip(seen, seen[1:]))
 
 
+def test_small_buckets_are_few(spark, tmp_path):
+    store = KeyedStore(spark, f"{tmp_path}/store", bucket_rows=2)
+    frame = spark.range(3000).selectExpr("concat('u', id) AS userId", "id AS value", "0L AS version")
+    run = store.write_run(frame, 0, 3000)
+    store.commit(0, None, run, frame.schema, {})
+    assert run.buckets == SMALL_BUCKETS and run.rows == 3000
+    assert len(store.files.names(run.path)) <= SMALL_BUCKETS + 1  # and the mark of success
+    asked = spark.createDataFrame([("u7",), ("x",)], "userId string")
+    assert [(r.userId, r.value) for r in store.lookup(asked).collect()] == [("u7", 7)]
+    assert store.rows().agg(F.sum("value")).first()[0] == 3000 * 2999 // 2
+
+
 def _one_by_one(known, events):
     """Sessions event by event."""
     out = dict(known)
